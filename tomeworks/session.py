@@ -45,21 +45,32 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tomeworks/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+_STAGED: list[str] = []
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 
     The copy is columnar, so later passes read only the columns they need, and it
-    outlives any executor.  ``drop_stage`` removes it once the run is over.
+    outlives any executor.  It stays until ``drop_stages`` or until the cluster cleans
+    its checkpoint folder.
     """
     spark = df.sparkSession
     path = work_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    _STAGED.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_so_far() -> int:
+    return len(_STAGED)
 
 
-def drop_stage(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def drop_stages(spark: SparkSession, since: int = 0) -> None:
+    """Remove the staged copies made after mark ``since`` (see ``staged_so_far``)."""
+    while len(_STAGED) > since:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
