@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .skew import HOT_ROWS, with_previous
+from .skew import HOT_ROWS, salted_join, with_previous
 
 # Pages per block of the two-level running sum: one task sees a block of pages or the
 # list of blocks, never the list of all pages.
@@ -18,10 +18,13 @@ def classify_changes(
     previous: DataFrame,
     key: Sequence[str] = ("provider", "source_id"),
     hash_column: str = "content_hash",
+    spread_by: Sequence[str] | None = None,
+    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``status``: new, changed or unchanged against the previous hash of the key.
 
-    ``previous`` has one row per key.  Only its key and hash are read.
+    ``previous`` has one row per key.  Only its key and hash are read.  Where one key may
+    repeat without bound in ``incoming``, name columns to spread its rows by.
     """
     key = list(key)
     known = previous.select(*key, F.col(hash_column).alias("known_hash"))
@@ -30,7 +33,11 @@ def classify_changes(
         .when(F.col("known_hash") == F.col(hash_column), "unchanged")
         .otherwise("changed")
     )
-    return incoming.join(known, key, "left").withColumn("status", status).drop("known_hash")
+    if spread_by:
+        joined = salted_join(incoming, known, key, "left", spread_by, min_rows)
+    else:
+        joined = incoming.join(known, key, "left")
+    return joined.withColumn("status", status).drop("known_hash")
 
 
 def change_sequence(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .skew import HOT_ROWS, with_previous
 
@@ -28,7 +28,7 @@ def counts(df: DataFrame, column: str, total: bool = False) -> DataFrame:
 def shares(df: DataFrame, column: str) -> DataFrame:
     """Rows per value and their share of all rows in basis points, rounded down."""
     counted = counts(df, column)
-    total = F.sum("rows").over(Window.partitionBy())
+    total = counted.agg(F.sum("rows").alias("total")).scalar()
     return counted.withColumn("basis_points", F.floor(F.col("rows") * 10000 / total))
 
 

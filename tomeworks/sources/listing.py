@@ -36,12 +36,16 @@ def _provider() -> Column:
     return F.regexp_extract("_metadata.file_path", r"/provider=([^/]+)/", 1)
 
 
-def read_pages(spark: SparkSession, path: str, from_page: int = 1) -> DataFrame:
-    """Page files under ``path``, from page ``from_page`` on, newest run of each page.
+def read_pages(
+    spark: SparkSession, path: str, from_page: int = 1, to_page: int | None = None
+) -> DataFrame:
+    """Page files under ``path`` in the given range, newest run of each page.
 
-    The page test is on file metadata, so earlier pages are not opened.
+    The page test is on file metadata, so other pages are not opened.
     """
     wanted = _page() >= max(1, from_page)
+    if to_page is not None:
+        wanted = wanted & (_page() <= to_page)
     files = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "page-*.json")
@@ -85,37 +89,31 @@ def newest_pages(pages: DataFrame, names: DataFrame | None = None) -> DataFrame:
     return pages.join(broadcast_if_small(stale), ["provider", "page", "run"], "left_anti")
 
 
-def explode_pages(pages: DataFrame) -> DataFrame:
-    """One row per listed record: (provider, page, pos, raw) with ``raw`` as JSON text,
-    and per page whether it has a successor."""
-    parsed = pages.withColumn("doc", F.from_json("payload", "next string, results array<string>"))
-    return parsed.select(
+def explode_pages(pages: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """One row per listed record: (provider, page, has_next, pos, raw), ``raw`` being its
+    JSON text.  With ``keep_empty`` a page without records leaves one row without pos."""
+    doc = F.from_json("payload", "next string, results array<string>")
+    explode = F.posexplode_outer if keep_empty else F.posexplode
+    return pages.withColumn("doc", doc).select(
         "provider",
         "page",
         (F.coalesce(F.col("doc.next"), F.lit("")) != "").alias("has_next"),
-        F.posexplode("doc.results").alias("pos", "raw"),
+        explode("doc.results").alias("pos", "raw"),
     )
 
 
-def page_ends(pages: DataFrame) -> DataFrame:
-    """Per provider, the last page a reader that follows ``next`` would consume.
-
-    Reading stops before the first page without results and after the first page
-    without a successor.
-    """
-    doc = F.from_json("payload", "next string, results array<string>")
-    seen = pages.select(
-        "provider",
-        "page",
-        F.coalesce(F.size(doc.getField("results")), F.lit(0)).alias("listed"),
-        (F.coalesce(doc.getField("next"), F.lit("")) != "").alias("has_next"),
-    )
-    return seen.groupBy("provider").agg(
+def page_ends(listed: DataFrame) -> DataFrame:
+    """Per provider, the first and last page and the page where a reader following
+    ``next`` stops: before the first page without records, after the first page without
+    a successor.  Expects ``explode_pages(…, keep_empty=True)``."""
+    empty = F.col("pos").isNull()
+    return listed.groupBy("provider").agg(
         F.least(
-            F.min(F.when(F.col("listed") <= 0, F.col("page") - 1)),
-            F.min(F.when((F.col("listed") > 0) & ~F.col("has_next"), F.col("page"))),
+            F.min(F.when(empty, F.col("page") - 1)),
+            F.min(F.when(~empty & ~F.col("has_next"), F.col("page"))),
             F.max("page"),
-        ).alias("end_page")
+        ).alias("end_page"),
+        F.max("page").alias("last_landed"),
     )
 
 
