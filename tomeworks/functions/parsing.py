@@ -12,6 +12,9 @@ from pyspark.sql import Column, functions as F
 from .. import fixed
 from ..schema import AUTHOR
 
+_DATE_TIME = r"\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?"
+_INSTANT = rf"^(?:{_DATE_TIME}[+-]\d{{2}}:\d{{2}}|\d{{4}}-\d{{1,2}}-\d{{1,2}}T00:00:00\+00:00)$"
+
 
 def variant_text(record: Column, path: str) -> Column:
     return F.try_variant_get(record, path, "string")
@@ -65,22 +68,18 @@ def issued_timestamp(value: Column) -> Column:
     Texts outside the accepted shapes (a bare year, a year and month, prose) are null.
     An offset is always written out before the cast, so the session zone has no say.
     """
-    text = F.regexp_replace(F.btrim(value, F.lit(fixed.WHITE_SPACE)), "Z$", "+00:00")
-    compact = F.when(
-        text.rlike(r"^\d{8}$"), F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
-    ).otherwise(text)
-    with_zone = (
-        F.when(compact.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.concat(compact, F.lit("T00:00:00+00:00")))
-        .when(
-            compact.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?$"),
-            F.concat(compact, F.lit("+00:00")),
-        )
-        .when(
-            compact.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?[+-]\d{2}:?\d{2}$"),
-            F.regexp_replace(compact, r"([+-]\d{2}):?(\d{2})$", "$1:$2"),
-        )
+    steps = (
+        (r"Z$", "+00:00"),
+        (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+        (r"^(\d{4}-\d{1,2}-\d{1,2})$", "$1T00:00:00+00:00"),
+        (rf"^({_DATE_TIME})$", "$1+00:00"),
+        (rf"^({_DATE_TIME}[+-]\d{{2}})(\d{{2}})$", "$1:$2"),
     )
-    return with_zone.try_cast("timestamp")
+    text = F.btrim(value, F.lit(fixed.WHITE_SPACE))
+    for pattern, replacement in steps:
+        text = F.regexp_replace(text, pattern, replacement)
+    # One chain and one extract: the expression is not repeated for a test of its shape.
+    return F.regexp_extract(text, _INSTANT, 0).try_cast("timestamp")
 
 
 def first_plain_text_url(raw_json: Column) -> Column:

@@ -229,17 +229,17 @@ def _carry_text(fresh, stored) -> DataFrame:
     last = last.select(*_ID, *[F.col(c).alias(f"old_{c}") for c in _TEXT])
     keep = (F.col("text_char_count") == 0) & F.coalesce(F.col("old_text_char_count") > 0, F.lit(False))
     joined = fresh.join(last, list(_ID), "left")
-    for c in _TEXT[:2] + _TEXT[2:]:
+    for c in _TEXT:
         joined = joined.withColumn(f"new_{c}", F.when(keep, F.col(f"old_{c}")).otherwise(F.col(c)))
     drop = [*_TEXT, *[f"old_{c}" for c in _TEXT], "status"]
     return joined.drop(*drop).withColumnsRenamed({f"new_{c}": c for c in _TEXT})
 
 
-def _owed(stored, fresh) -> DataFrame:
+def _owed(stored, fresh, priority) -> DataFrame:
     """Narrow rows of stored records whose newest version has no text, except records
     that this run lists again.  Only records that ever lacked text are looked at."""
     ever = stored.where("text_char_count = 0").select(*_ID).distinct()
-    versions = stored.select(*_ID, "text_char_count", "download_count", *RECENCY)
+    versions = stored.select(*_ID, "text_char_count", priority, *RECENCY)
     versions = versions.join(broadcast_if_small(ever), list(_ID), "left_semi")
     owed = latest_wins(versions, _ID, RECENCY).where("text_char_count = 0")
     if fresh is not None:
@@ -250,7 +250,7 @@ def _owed(stored, fresh) -> DataFrame:
 
 def _enrich(fresh, stored, texts, options, report) -> tuple[DataFrame | None, DataFrame | None]:
     """Step 4: (fresh records with text filled in, stored records that gained text)."""
-    owed = _owed(stored, fresh)
+    owed = _owed(stored, fresh, options.priority)
     # Ties go by arrival, records owed from earlier runs first.
     targets = owed.select(
         *_ID, options.priority, F.lit(0).alias("wave"),

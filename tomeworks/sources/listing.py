@@ -49,9 +49,8 @@ def read_pages(
     files = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "page-*.json")
-        .option("wholetext", True)
         .schema(_FILE)
-        .text(path)
+        .text(path, wholetext=True)
         .where(wanted)
     )
     pages = files.select(
@@ -124,13 +123,13 @@ def read_listing(spark: SparkSession, path: str, from_page: int = 1) -> DataFram
 
 def read_listing_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Stream of landed pages.  A file source keeps its own record of files already read."""
-    reader = spark.readStream.option("pathGlobFilter", "page-*.json").option("wholetext", True)
+    reader = spark.readStream.option("pathGlobFilter", "page-*.json")
     reader = reader.option("recursiveFileLookup", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return (
         reader.schema(_FILE)
-        .text(path)
+        .text(path, wholetext=True)
         .select(
             _provider().alias("provider"), _page().alias("page"), _run().alias("run"),
             F.col("value").alias("payload"),
