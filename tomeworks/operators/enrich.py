@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed
-from ..functions import preview
+from ..functions import after_front_matter, first_chars, preview
 from ..session import BROADCAST_ROWS
 from .skew import top_rows
 
@@ -82,3 +82,19 @@ def pending(
 ) -> DataFrame:
     """Catalog rows that no row of ``with_text`` covers yet."""
     return catalog.join(with_text.select(*key), list(key), "left_anti")
+
+
+def display_text(df: DataFrame, chars: int = fixed.DISPLAY_CHARS, column: str = "text") -> DataFrame:
+    """A text as a reader shows it: behind the front matter, cut to ``chars``, with its
+    ``total`` and ``shown`` length.  White space is dropped only where a marker was."""
+    body = after_front_matter(F.col(column))
+    # Taking a marker off always shortens a text.
+    body = F.when(body == F.col(column), body).otherwise(
+        F.ltrim(body, F.lit(fixed.WHITE_SPACE))
+    )
+    cut = df.withColumn("body", body).withColumn("total", F.length("body"))
+    return (
+        cut.withColumn("shown", F.least("total", F.lit(chars)))
+        .withColumn(column, first_chars(F.col("body"), chars))
+        .drop("body")
+    )

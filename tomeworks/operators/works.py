@@ -9,13 +9,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import strip_space
+from .. import fixed
 from .skew import HOT_ROWS, salted_join
 
 
 def normal_form(text: Column) -> Column:
     """Lower case, runs of white space as one blank, no blanks at the ends."""
-    return F.lower(strip_space(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " ")))
+    single = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{fixed.WHITE_SPACE}]+", " ")
+    return F.lower(F.btrim(single))
 
 
 def work_key(oclc: Column, title: Column, author: Column) -> Column:

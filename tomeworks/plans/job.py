@@ -169,7 +169,7 @@ def _take(spark, base, source, pages, texts, options, report, start) -> RunRepor
     return report
 
 
-def _collect(listed, stored, options, report, start) -> DataFrame:
+def _collect(listed, stored, options, report, start) -> DataFrame | None:
     """Steps 2 and 3: the new and changed records of the pages this run may take."""
     ends = page_ends(listed).first()
     if ends is None:
@@ -214,6 +214,9 @@ def _collect(listed, stored, options, report, start) -> DataFrame:
         report.pages_read = listed.select("page").distinct().count()
     report.last_page = max(report.last_page, upto)
 
+    if report.new_records + report.changed_records == 0:
+        return None
+
     kept = latest_wins(within.where("status <> 'unchanged'"), _ID, ("page", "pos"))
     kept = broadcast_if_small(kept.select("provider", "page", "pos", "status"))
     fresh = listed.join(kept, ["provider", "page", "pos"])

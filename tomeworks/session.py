@@ -19,6 +19,7 @@ def local_session(app: str = "tomeworks", cores: str = "*", partitions: int = 8)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TOMEWORKS_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
