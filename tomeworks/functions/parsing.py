@@ -12,7 +12,7 @@ from pyspark.sql import Column, functions as F
 from .. import fixed
 from ..schema import AUTHOR
 
-_DATE_TIME = r"\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?"
+_DATE_TIME = r"\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?"
 _INSTANT = rf"^(?:{_DATE_TIME}[+-]\d{{2}}:\d{{2}}|\d{{4}}-\d{{1,2}}-\d{{1,2}}T00:00:00\+00:00)$"
 
 
@@ -72,6 +72,7 @@ def issued_timestamp(value: Column) -> Column:
         (r"Z$", "+00:00"),
         (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
         (r"^(\d{4}-\d{1,2}-\d{1,2})$", "$1T00:00:00+00:00"),
+        (r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})($|[+-])", "$1:00$2"),
         (rf"^({_DATE_TIME})$", "$1+00:00"),
         (rf"^({_DATE_TIME}[+-]\d{{2}})(\d{{2}})$", "$1:$2"),
     )

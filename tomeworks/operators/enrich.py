@@ -49,11 +49,10 @@ def fetch_previews(
         found = texts.join(F.broadcast(keys), key, "left_semi").select(*key, made)
     else:
         found = texts.select(*key, made).join(keys, key, "left_semi")
-    return (
-        found.where(F.col("preview").isNotNull())
-        .groupBy(*key)
-        .agg(F.max("preview").alias("preview"))
-    )
+    # The null test comes last: before the aggregate it would be pushed into the scan and
+    # make every preview twice.
+    one = found.groupBy(*key).agg(F.max("preview").alias("preview"))
+    return one.where(F.col("preview").isNotNull())
 
 
 def attach_text(

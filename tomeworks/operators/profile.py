@@ -25,11 +25,16 @@ def counts(df: DataFrame, column: str, total: bool = False) -> DataFrame:
     return counted.withColumn("is_total", F.lit(False)).unionByName(everything)
 
 
+def basis_points(part: Column, whole: Column) -> Column:
+    """Share in ten-thousandths, rounded down; exact, since it stays in whole numbers."""
+    return F.call_function("div", part * 10000, whole)
+
+
 def shares(df: DataFrame, column: str) -> DataFrame:
     """Rows per value and their share of all rows in basis points, rounded down."""
     counted = counts(df, column)
     total = counted.agg(F.sum("rows").alias("total")).scalar()
-    return counted.withColumn("basis_points", F.floor(F.col("rows") * 10000 / total))
+    return counted.withColumn("basis_points", basis_points(F.col("rows"), total))
 
 
 def coverage(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -45,7 +50,7 @@ def coverage(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
             for i, c in enumerate(columns)
         ]
     )
-    share = F.floor(F.col("present") * 10000 / F.nullif(F.col("rows"), F.lit(0)))
+    share = basis_points(F.col("present"), F.nullif(F.col("rows"), F.lit(0)))
     return seen.select("rows", F.inline(listed)).select(
         "field", "rows", "present", share.alias("basis_points")
     )

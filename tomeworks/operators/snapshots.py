@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .catalog import latest_wins
 from .normalize import is_public_domain
+from .profile import basis_points
 
 
 def missing_ids(old: DataFrame, new: DataFrame, key: str = "htid") -> DataFrame:
@@ -54,7 +55,7 @@ def delta_share(snapshot: DataFrame, delta: DataFrame, key: str = "htid") -> Dat
     kind = F.when(F.col("known") == 1, "modified").otherwise("new").alias("kind")
     counted = per_key.where("rows > 0").groupBy(kind).agg(F.sum("rows").alias("rows"))
     total = F.sum("rows").over(Window.partitionBy())
-    return counted.withColumn("basis_points", F.floor(F.col("rows") * 10000 / total))
+    return counted.withColumn("basis_points", basis_points(F.col("rows"), total))
 
 
 def transitions(old: DataFrame, new: DataFrame, column: str, key: str = "htid") -> DataFrame:

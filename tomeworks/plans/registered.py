@@ -15,7 +15,7 @@ from .. import fixed
 from .. import functions as fn
 from ..operators import catalog, changes, enrich, filters, normalize, profile, search
 from ..operators import snapshots, vectors, works
-from ..session import work_path
+from ..session import stage, work_path
 from ..sources import explode_pages, newest_file, parse_volumes
 from ..streaming.ingest import append_stream
 from .job import RunOptions, ingest
@@ -753,8 +753,12 @@ def works_collapse(spark, sf_dir):
     """
 )
 def known_work_filter(spark, sf_dir):
-    """Unlabelled documents that are no copy of a labelled one."""
-    keyed = _works(spark, sf_dir)
+    """Unlabelled documents that are no copy of a labelled one.
+
+    The keys are staged: texts are read and hashed once, and everything behind reads a
+    narrow table.
+    """
+    keyed = stage(_works(spark, sf_dir), "work-keys")
     labels = table(spark, sf_dir, "labels").select("doc_id")
     known = keyed.join(labels, "doc_id", "left_semi")
     candidates = keyed.join(labels, "doc_id", "left_anti")
