@@ -11,9 +11,21 @@ from .normalize import record_uid
 
 
 def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
-    """All sources in one table with a ``uid``; columns a source lacks are null."""
-    merged = frames[0]
-    for frame in frames[1:]:
+    """All sources in one table with a ``uid``; columns a source lacks are null.
+
+    A column that sources type differently (a number here, a text there) becomes text:
+    Spark would otherwise try to read the texts as numbers.
+    """
+    kinds: dict[str, set[str]] = {}
+    for frame in frames:
+        for name, kind in frame.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    mixed = [name for name, seen in kinds.items() if len(seen) > 1 or name == "id"]
+    alike = [
+        f.withColumns({c: F.col(c).cast("string") for c in mixed if c in f.columns}) for f in frames
+    ]
+    merged = alike[0]
+    for frame in alike[1:]:
         merged = merged.unionByName(frame, allowMissingColumns=True)
     return merged.withColumn("uid", record_uid(F.col("source"), F.col("id")))
 
