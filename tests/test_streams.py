@@ -22,7 +22,8 @@ def test_stream_equals_batch_and_resumes(spark, land, tmp_path):
         streaming.ingest_stream(spark, base, land.root, check, **options).awaitTermination()
 
     take(max_files=2)
-    assert [r.new_records for r in read_run_log(spark, base).orderBy("run_seq").collect()] == [4, 1]
+    log = read_run_log(spark, base).collect()
+    assert len(log) == 2 and sum(r.new_records for r in log) == 5
     other = str(tmp_path / "b")
     run(spark, other, land.root, options=RunOptions(max_rows=None))
     assert titles(spark, base) == titles(spark, other)

@@ -9,13 +9,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .. import fixed
 from .skew import HOT_ROWS, salted_join
 
 
 def normal_form(text: Column) -> Column:
     """Lower case, runs of white space as one blank, no blanks at the ends."""
-    single = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{fixed.WHITE_SPACE}]+", " ")
+    single = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)[\s\x1c-\x1f]+", " ")
     return F.lower(F.btrim(single))
 
 

@@ -27,7 +27,7 @@ from ..operators.changes import cap_pages, classify_changes
 from ..operators.enrich import attach_text, fetch_previews, select_budget
 from ..operators.profile import status_counts
 from ..schema import STORED, conform
-from ..session import BROADCAST_ROWS, broadcast_if_small, drop_stages, stage, staged_so_far
+from ..session import broadcast_if_small, drop_stages, stage, staged_so_far
 from ..sources import explode_pages, read_shards
 from ..sources.listing import page_ends
 from . import providers as registry
@@ -187,7 +187,7 @@ def _collect(listed, stored, options, report, start) -> DataFrame | None:
     )
     # Where the batch is small, stored versions of other records are dropped in the scan
     # and the catalog is never shuffled for it.
-    ids = broadcast_if_small(incoming.select(*_ID))
+    ids = broadcast_if_small(incoming.select(*_ID), rows=ends["records"])
     versions = stored.select(*_ID, "content_hash", *RECENCY).join(ids, list(_ID), "left_semi")
     known = latest_wins(versions, _ID, RECENCY)
     decided = stage(
@@ -211,14 +211,16 @@ def _collect(listed, stored, options, report, start) -> DataFrame | None:
     if reader_driven:
         report.pages_read = max(0, upto - start + 1)
     else:
-        report.pages_read = listed.select("page").distinct().count()
+        report.pages_read = ends["pages"]
     report.last_page = max(report.last_page, upto)
 
-    if report.new_records + report.changed_records == 0:
+    if _kept(report) == 0:
         return None
 
     kept = latest_wins(within.where("status <> 'unchanged'"), _ID, ("page", "pos"))
-    kept = broadcast_if_small(kept.select("provider", "page", "pos", "status"))
+    kept = broadcast_if_small(
+        kept.select("provider", "page", "pos", "status"), rows=_kept(report)
+    )
     fresh = listed.join(kept, ["provider", "page", "pos"])
     return _carry_text(fresh, stored) if options.carry_text else fresh.drop("status")
 
@@ -238,7 +240,11 @@ def _carry_text(fresh, stored) -> DataFrame:
     return joined.drop(*drop).withColumnsRenamed({f"new_{c}": c for c in _TEXT})
 
 
-def _owed(stored, fresh, priority) -> DataFrame:
+def _kept(report) -> int:
+    return report.new_records + report.changed_records
+
+
+def _owed(stored, fresh, priority, kept) -> DataFrame:
     """Narrow rows of stored records whose newest version has no text, except records
     that this run lists again.  Only records that ever lacked text are looked at."""
     ever = stored.where("text_char_count = 0").select(*_ID).distinct()
@@ -246,14 +252,14 @@ def _owed(stored, fresh, priority) -> DataFrame:
     versions = versions.join(broadcast_if_small(ever), list(_ID), "left_semi")
     owed = latest_wins(versions, _ID, RECENCY).where("text_char_count = 0")
     if fresh is not None:
-        listed = broadcast_if_small(fresh.select(*_ID))
+        listed = broadcast_if_small(fresh.select(*_ID), rows=kept)
         owed = owed.join(listed, list(_ID), "left_anti")
     return owed
 
 
 def _enrich(fresh, stored, texts, options, report) -> tuple[DataFrame | None, DataFrame | None]:
     """Step 4: (fresh records with text filled in, stored records that gained text)."""
-    owed = _owed(stored, fresh, options.priority)
+    owed = _owed(stored, fresh, options.priority, _kept(report))
     # Ties go by arrival, records owed from earlier runs first.
     targets = owed.select(
         *_ID, options.priority, F.lit(0).alias("wave"),
@@ -282,16 +288,16 @@ def _enrich(fresh, stored, texts, options, report) -> tuple[DataFrame | None, Da
     report.text_fetched = previews.count()
     report.text_pending = wanting - report.text_fetched
 
-    small = broadcast_if_small(previews, _BROADCAST_PREVIEWS)
-    if fresh is not None:
-        fresh = attach_text(fresh, small, _ID)
     if report.text_fetched == 0:
         return fresh, None
-    hit = previews.select(*_ID)
-    hit = F.broadcast(hit) if report.text_fetched <= BROADCAST_ROWS else hit
+    got = report.text_fetched
+    small = broadcast_if_small(previews, _BROADCAST_PREVIEWS, rows=got)
+    if fresh is not None:
+        fresh = attach_text(fresh, small, _ID)
+    hit = broadcast_if_small(previews.select(*_ID), rows=got)
     old = targets.where("wave = 0").select(*_ID, F.col("a").alias("run_seq"), F.col("b").alias("row_seq"))
     old = old.join(hit, list(_ID), "left_semi")
-    old = F.broadcast(old) if report.text_fetched <= BROADCAST_ROWS else old
+    old = broadcast_if_small(old, rows=got)
     versions = stored.join(old, [*_ID, "run_seq", "row_seq"], "left_semi")
     return fresh, attach_text(versions, small, _ID)
 
@@ -303,16 +309,14 @@ def _left(options, report) -> int | None:
 def _account(spark, base, provider, report) -> None:
     """Count what this run has on disk and write its manifest."""
     written = read_shards(spark, base, provider).where(F.col("run_seq") == report.run_seq)
-    files = stage(manifest(written, report.started_at), "manifest")
-    report.rows_written = files.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-    if report.rows_written:
-        (
-            files.coalesce(1)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run_seq", "provider")
-            .parquet(f"{base}/_manifest")
-        )
+    (
+        manifest(written, report.started_at)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_seq", "provider")
+        .parquet(f"{base}/_manifest")
+    )
+    report.rows_written = written.count()
 
 
 def _set_aside(listed, base, provider, report) -> None:

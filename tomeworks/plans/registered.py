@@ -923,9 +923,6 @@ def _landed(spark, sf_dir) -> DataFrame:
         F.col("doc_id").alias("id"),
         F.concat(F.lit("Title "), F.col("doc_id")).alias("title"),
         F.array(F.struct(F.col("source").alias("name"), F.col("doc_id").alias("id"))).alias("authors"),
-        F.when(english, F.to_json(F.array(lang, F.lit(""), F.col("source"))))
-        .otherwise(F.to_json(F.array(lang)))
-        .alias("subjects"),
         F.when(F.col("n_chars") >= 500, text).alias("summary"),
         F.col("n_chars").alias("download_count"),
         F.concat(F.lit("Reading ease score: "), F.col("n_chars"), F.lit(".5 (est.)")).alias(
@@ -934,14 +931,11 @@ def _landed(spark, sf_dir) -> DataFrame:
         F.when(english, F.lit("1998-06-01")).otherwise("June").alias("issued"),
         F.when(lang == "de", "claimed").alias("removed_from_catalog"),
     )
-    as_text = F.to_json(record)
-    # Lists were written as text above so that a bare string can stand in their place.
-    opened = F.when(
-        english, F.regexp_replace(as_text, r'"subjects":"\[(.*?)\]"', r'"subjects":[$1]')
-    ).otherwise(F.regexp_replace(as_text, r'"subjects":"\[\\"(.*?)\\"\]"', r'"subjects":"$1"'))
-    cleaned = F.when(
-        english, F.regexp_replace(opened, r'"subjects":\[\\"(.*?)\\",\\"\\",\\"(.*?)\\"\]', r'"subjects":["$1","","$2"]')
-    ).otherwise(opened)
+    # Subjects are a list in one language and a bare string in the others.
+    subjects = F.when(
+        english, F.to_json(F.array(lang, F.lit(""), F.col("source")))
+    ).otherwise(F.concat(F.lit('"'), lang, F.lit('"')))
+    cleaned = F.concat(F.lit('{"subjects":'), subjects, F.lit(","), F.ltrim(F.to_json(record), F.lit("{")))
     docs = table(spark, sf_dir, "documents")
     return docs.select(
         F.lit(fixed.LISTING_SOURCE).alias("provider"),

@@ -87,13 +87,15 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
 BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for ``df`` only after counting that it has at most ``max_rows`` rows.
-
-    Meant for narrow key tables that are cheap to count (a staged table, a few
-    columns of Parquet).  Beyond the bound the frame is returned as it is and the
-    join is left to the planner.  The hint holds for this query only; it does not
-    change what the join returns.
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None
+) -> DataFrame:
+    """Broadcast hint for ``df`` only once it is known to have at most ``max_rows`` rows.
+
+    ``rows`` is a bound the caller has counted already; without it the rows are counted
+    here, so ``df`` should be a narrow key table that is cheap to count.  Beyond the
+    bound the frame is returned as it is and the join is left to the planner.
     """
-    found = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if found <= max_rows else df
+    if rows is None:
+        rows = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if rows <= max_rows else df

@@ -102,9 +102,9 @@ def explode_pages(pages: DataFrame, keep_empty: bool = False) -> DataFrame:
 
 
 def page_ends(listed: DataFrame) -> DataFrame:
-    """Per provider, the first and last page and the page where a reader following
-    ``next`` stops: before the first page without records, after the first page without
-    a successor.  Expects ``explode_pages(…, keep_empty=True)``."""
+    """Per provider, the page where a reader following ``next`` stops — before the first
+    page without records, after the first page without a successor — with the range and
+    number of pages and the number of records.  Expects ``explode_pages(keep_empty=True)``."""
     empty = F.col("pos").isNull()
     return listed.groupBy("provider").agg(
         F.least(
@@ -112,7 +112,10 @@ def page_ends(listed: DataFrame) -> DataFrame:
             F.min(F.when(~empty & ~F.col("has_next"), F.col("page"))),
             F.max("page"),
         ).alias("end_page"),
+        F.min("page").alias("first_landed"),
         F.max("page").alias("last_landed"),
+        F.count("pos").alias("records"),
+        F.count_distinct("page").alias("pages"),
     )
 
 

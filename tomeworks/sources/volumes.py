@@ -25,11 +25,17 @@ INDEX = T.StructType(
 
 
 def parse_volumes(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Lines to 26 string columns; bytes that are not UTF-8 become the replacement mark."""
+    """Lines to 26 string columns, other columns of ``lines`` kept; bytes that are not
+    UTF-8 become the replacement mark.
+
+    The split goes through a one-element explode so that it is made once: a filter on a
+    projected split would be pushed below the projection and split every line again.
+    """
+    kept = [c for c in lines.columns if c != column]
     fields = F.split(F.make_valid_utf8(F.col(column)), "\t", -1)
-    split = lines.select(fields.alias("f")).where(F.size("f") >= len(fixed.VOLUME_COLUMNS))
-    return split.select(
-        *[F.col("f")[i].alias(name) for i, name in enumerate(fixed.VOLUME_COLUMNS)]
+    once = lines.select(*kept, F.explode(F.array(fields)).alias("f"))
+    return once.where(F.size("f") >= len(fixed.VOLUME_COLUMNS)).select(
+        *[F.col("f")[i].alias(name) for i, name in enumerate(fixed.VOLUME_COLUMNS)], *kept
     )
 
 
@@ -46,14 +52,8 @@ def read_volumes(spark: SparkSession, path: str, partitions: int | None = None)
 
 def read_volumes_stream(spark: SparkSession, path: str) -> DataFrame:
     """Stream of landed volume files with the name of the file a row came from."""
-    lines = spark.readStream.text(path).select("value", F.col("_metadata.file_name").alias("file"))
-    fields = F.split(F.make_valid_utf8("value"), "\t", -1)
-    split = lines.select(fields.alias("f"), "file").where(
-        F.size("f") >= len(fixed.VOLUME_COLUMNS)
-    )
-    return split.select(
-        *[F.col("f")[i].alias(name) for i, name in enumerate(fixed.VOLUME_COLUMNS)], "file"
-    )
+    lines = spark.readStream.text(path)
+    return parse_volumes(lines.select("value", F.col("_metadata.file_name").alias("file")))
 
 
 def read_file_index(spark: SparkSession, path: str) -> DataFrame:
