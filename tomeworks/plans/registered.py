@@ -270,7 +270,7 @@ _WS = fixed.WHITE_SPACE
     f"""
     WITH p AS (SELECT page_id, nullif(substring(trim(html, '{_WS}'), 1, 4000), '') AS preview FROM pages)
     SELECT d.doc_id, CASE WHEN preview IS NULL THEN 'none' ELSE 'first_chars' END AS text_source,
-           coalesce(length(preview), 0) AS text_char_count, sha256(preview) AS text_hash
+           CAST(coalesce(length(preview), 0) AS INTEGER) AS text_char_count, sha256(preview) AS text_hash
     FROM documents d LEFT JOIN p ON p.page_id = d.doc_id
     """
 )
@@ -359,8 +359,8 @@ _MARK = "*** START OF THIS PROJECT GUTENBERG EBOOK A\nTITLE ***"
       SELECT doc_id, trim(concat(
         regexp_replace(substring(full_text, 1, 20000), '^.*?{fixed.FRONT_MATTER_MARKER}', '', 'is'),
         substring(full_text, 20001)), '{_WS}') AS body FROM x)
-    SELECT doc_id, sha256(body) AS body_hash, length(body) AS body_chars,
-           length(nullif(substring(body, 1, 4000), '')) AS preview_chars
+    SELECT doc_id, sha256(body) AS body_hash, CAST(length(body) AS INTEGER) AS body_chars,
+           CAST(length(nullif(substring(body, 1, 4000), '')) AS INTEGER) AS preview_chars
     FROM y
     """
 )
@@ -394,7 +394,7 @@ def marker_strip(spark, sf_dir):
                               THEN ltrim(concat(
         regexp_replace(substring(t, 1, 20000), '^.*?{fixed.FRONT_MATTER_MARKER}', '', 'is'),
         substring(t, 20001)), '{_WS}') ELSE t END AS b FROM x)
-    SELECT doc_id, length(b) AS total, least(length(b), 40000) AS shown, sha256(substring(b, 1, 40000)) AS text_hash
+    SELECT doc_id, CAST(length(b) AS INTEGER) AS total, CAST(least(length(b), 40000) AS INTEGER) AS shown, sha256(substring(b, 1, 40000)) AS text_hash
     FROM y
     """
 )
@@ -410,7 +410,7 @@ def display_text(spark, sf_dir):
 
 @query(
     """
-    SELECT doc_id, substring(text, 1, 100) AS opening, length(text) AS char_count FROM documents
+    SELECT doc_id, substring(text, 1, 100) AS opening, CAST(length(text) AS INTEGER) AS char_count FROM documents
     """
 )
 def truncate_count(spark, sf_dir):
@@ -491,7 +491,7 @@ def issued_parse(spark, sf_dir):
 @query(
     """
     SELECT p_partkey, regexp_replace(trim(p_name), ' +', '; ', 'g') AS tags,
-           len(string_split(regexp_replace(trim(p_name), ' +', '; ', 'g'), '; ')) AS n_tags
+           CAST(len(string_split(regexp_replace(trim(p_name), ' +', '; ', 'g'), '; ')) AS INTEGER) AS n_tags
     FROM part
     """
 )
@@ -770,7 +770,7 @@ def known_work_filter(spark, sf_dir):
 
 @query(
     """
-    SELECT d.doc_id, d.lang, e.label, len(e.embedding) AS dims
+    SELECT d.doc_id, d.lang, e.label, CAST(len(e.embedding) AS INTEGER) AS dims
     FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id
     """
 )
@@ -952,7 +952,8 @@ def _landed(spark, sf_dir) -> DataFrame:
            CASE WHEN lang = 'en' THEN lang || '; ' || source ELSE lang END AS subjects,
            '{fixed.LISTING_PAGE_URL}' || doc_id || '{fixed.LISTING_TEXT_SUFFIX}' AS download_url,
            sha256(CASE WHEN n_chars >= 500 THEN nullif(substring(trim(text, '{_WS}'), 1, 4000), '') END) AS text_hash,
-           coalesce(length(CASE WHEN n_chars >= 500 THEN substring(trim(text, '{_WS}'), 1, 4000) END), 0) AS text_char_count,
+           CAST(coalesce(length(CASE WHEN n_chars >= 500 THEN substring(trim(text, '{_WS}'), 1, 4000) END), 0) AS INTEGER)
+             AS text_char_count,
            CASE WHEN n_chars >= 500 AND trim(text, '{_WS}') <> '' THEN 'summary' ELSE 'none' END AS text_source,
            n_chars AS download_count, CAST(n_chars || '.5' AS DOUBLE) AS reading_ease_score,
            CASE WHEN lang = 'en' THEN 896659200000000 END AS issued_us,
