@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from tomeworks import fixed  # noqa: E402
+from tomeworks.operators import catalog, changes, enrich, snapshots  # noqa: E402
 from tomeworks.operators.filters import filter_public_domain  # noqa: E402
 from tomeworks.operators.normalize import flatten_volumes, is_public_domain  # noqa: E402
 from tomeworks.operators.profile import scan_counters  # noqa: E402
@@ -54,6 +55,59 @@ def land_volumes(spark, sf_dir, copies, files, path) -> int:
     return orders.count() * copies
 
 
+def replicate(spark, sf_dir, copies, folder):
+    """Events and orders ``copies`` times over with keys of their own, written once."""
+    many = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy")
+    own = lambda c: F.col(c) * copies + F.col("copy")
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", many)
+    orders = _with_rights(table(spark, sf_dir, "orders")).select(
+        "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice", "rights", many
+    )
+    for name, df, keys in (
+        ("events", events, ("user_id", "event_id")),
+        ("orders", orders, ("o_custkey", "o_orderkey")),
+    ):
+        shifted = df.withColumns({k: own(k) for k in keys}).drop("copy")
+        shifted.repartition(16).write.parquet(f"{folder}/{name}")
+    return spark.read.parquet(f"{folder}/events"), spark.read.parquet(f"{folder}/orders")
+
+
+def scaling(spark, sf_dir, copies) -> dict:
+    """Seconds of the headline operators on replicated tables."""
+    events, orders = replicate(spark, sf_dir, copies, tempfile.mkdtemp(prefix="bench-") + "/copies")
+    newest = ["o_orderdate", "o_orderkey"]
+    early = F.col("o_orderdate") < F.lit("1998-06-01").cast("timestamp_ntz")
+
+    def half(condition):
+        return catalog.latest_wins(orders.where(condition), ["o_custkey"], newest)
+
+    incoming = orders.select("o_orderkey", F.md5("rights").alias("content_hash"))
+    paged = orders.select(
+        F.lit("p").alias("provider"),
+        F.floor(F.col("o_orderkey") / 100).alias("page"),
+        (F.col("rights") != "und").alias("kept"),
+        "o_orderkey",
+    )
+    cap = orders.count() // 3
+    plans = {
+        "latest_wins": lambda: catalog.latest_wins(events, ["user_id"], ["ts", "event_id"]),
+        "change_sequence": lambda: changes.change_sequence(
+            events, ["user_id"], ["ts", "event_id"], "event_type"
+        ),
+        "snapshot_diff": lambda: snapshots.snapshot_diff(half(early), half(~early), ["rights"], "o_custkey"),
+        "classify_changes": lambda: changes.classify_changes(
+            incoming, incoming.where("content_hash > '8'"), ["o_orderkey"]
+        ),
+        "budget_topk": lambda: enrich.select_budget(orders, 500, "o_totalprice", ["o_orderkey"]),
+        "page_cap": lambda: changes.page_cap(paged, cap),
+    }
+    out = {"events": events.count(), "orders": orders.count()}
+    for name, plan in plans.items():
+        out[name] = round(seconds(lambda: plan().write.format("noop").mode("overwrite").save()), 3)
+        drop_stages(spark)
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -70,7 +124,7 @@ def main() -> None:
         timings[name] = round(min(first, again), 3)
         drop_stages(spark)
 
-    rates = {}
+    rates, scaled = {}, {}
     if not wanted:
         copies = int(os.environ.get("BENCH_SCAN_COPIES", "20"))
         path = tempfile.mkdtemp(prefix="bench-") + "/volumes"
@@ -83,6 +137,8 @@ def main() -> None:
         for name, action in (("volumes_scan", scan), ("volumes_filter_flatten", flat)):
             timings[name] = round(min(seconds(action), seconds(action)), 3)
             rates[name] = round(rows / timings[name])
+        for n in os.environ.get("BENCH_COPIES", "1,10,100").split(","):
+            scaled[f"x{n}"] = scaling(spark, sf_dir, int(n))
 
     print(
         json.dumps(
@@ -92,6 +148,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": timings,
                 "rows_per_second": rates,
+                "replicated": scaled,
                 "sf": os.path.basename(sf_dir.rstrip("/")),
                 "cpus": cpus,
             }

@@ -29,7 +29,7 @@ from ..operators.profile import status_counts
 from ..schema import STORED, conform
 from ..session import broadcast_if_small, drop_stages, stage, staged_so_far
 from ..sources import explode_pages, read_shards
-from ..sources.listing import page_ends
+from ..sources.listing import first_gap, page_ends
 from . import providers as registry
 from .runlog import RunReport, reserve, resume_page, write_report
 
@@ -176,9 +176,19 @@ def _collect(listed, stored, options, report, start) -> DataFrame | None:
         return None
     reader_driven = start is not None
     horizon = ends["end_page"] if reader_driven else ends["last_landed"]
+    if reader_driven:
+        # A page that is still to land must not be passed: the checkpoint would skip it.
+        missing = None
+        if ends["first_landed"] > start:
+            missing = start
+        elif ends["last_landed"] - start + 1 != ends["pages"]:
+            missing = first_gap(listed)
+        if missing is not None and missing <= horizon:
+            horizon = missing - 1
+            report.stopped_reason = f"page {missing} has not landed"
     if reader_driven and options.budget is not None:
         allowed = start + options.budget - 1
-        if ends["end_page"] >= allowed:
+        if horizon >= allowed:
             report.stopped_reason = f"run budget spent ({options.budget} pages)"
         horizon = min(horizon, allowed)
 
@@ -282,6 +292,9 @@ def _enrich(fresh, stored, texts, options, report) -> tuple[DataFrame | None, Da
         report.stopped_reason = (
             f"text budget spent ({k})" if by_cap else "run budget spent during text stage"
         )
+    report.text_pending = wanting
+    if wanting == 0 or k == 0:
+        return fresh, None
     chosen = select_budget(targets, k, options.priority, ties=("wave", "a", "b"))
     at_most = wanting if k is None else min(k, wanting)
     previews = stage(fetch_previews(chosen, texts, options.chars, _ID, at_most), "previews")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -46,7 +47,14 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tomeworks/{label}-{uuid.uuid4().hex}"
 
 
-_STAGED: list[str] = []
+class _Staged(threading.local):
+    """Paths staged by this thread; streams of one driver run on threads of their own."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_STAGED = _Staged()
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -59,18 +67,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = work_path(spark, label)
     df.write.parquet(path)
-    _STAGED.append(path)
+    _STAGED.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def staged_so_far() -> int:
-    return len(_STAGED)
+    return len(_STAGED.paths)
 
 
 def drop_stages(spark: SparkSession, since: int = 0) -> None:
-    """Remove the staged copies made after mark ``since`` (see ``staged_so_far``)."""
-    while len(_STAGED) > since:
-        target = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+    """Remove the copies this thread staged after mark ``since`` (see ``staged_so_far``)."""
+    while len(_STAGED.paths) > since:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.paths.pop())
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 

@@ -8,6 +8,7 @@ which is the better layout once there are millions of pages.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import broadcast_if_small
@@ -46,13 +47,18 @@ def read_pages(
     wanted = _page() >= max(1, from_page)
     if to_page is not None:
         wanted = wanted & (_page() <= to_page)
-    files = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "page-*.json")
-        .schema(_FILE)
-        .text(path, wholetext=True)
-        .where(wanted)
-    )
+    try:
+        files = (
+            spark.read.option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "page-*.json")
+            .schema(_FILE)
+            .text(path, wholetext=True)
+            .where(wanted)
+        )
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], PAGES)  # nothing has landed yet
     pages = files.select(
         _provider().alias("provider"), _page().alias("page"), _run().alias("run"),
         F.col("value").alias("payload"),
@@ -119,6 +125,13 @@ def page_ends(listed: DataFrame) -> DataFrame:
     )
 
 
+def first_gap(listed: DataFrame) -> int | None:
+    """Smallest page that has not landed although its predecessor has."""
+    pages = listed.select("page").distinct()
+    after = pages.select((F.col("page") + 1).alias("page"))
+    return after.join(pages, "page", "left_anti").agg(F.min("page")).first()[0]
+
+
 def read_listing(spark: SparkSession, path: str, from_page: int = 1) -> DataFrame:
     """Raw records of the landed listing in (page, pos) order columns."""
     return explode_pages(read_pages(spark, path, from_page))
