@@ -6,6 +6,8 @@ from dataclasses import replace
 import pytest
 
 from tomeworks.operators.catalog import catalog_state, latest_shards, manifest_summary, read_catalog
+from tomeworks import session
+from tomeworks.plans import job
 from tomeworks.plans.job import RunOptions, run
 from tomeworks.plans.runlog import read_run_log
 from tomeworks.sources import read_shards
@@ -150,6 +152,35 @@ def test_run_delivered_twice_lands_once(spark, base, landed):
     assert read_run_log(spark, base).count() == 1
 
 
+def test_run_that_died_is_repeated_whole(spark, base, landed, monkeypatch):
+    def die(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(job, "write_report", die)
+        with pytest.raises(RuntimeError):
+            run(spark, base, landed.root, options=OPTIONS, run_id="first")
+    # Another run comes between and may not take the number of the one that died.
+    between = one(spark, base, landed)
+    assert (between.run_seq, between.unchanged_records, between.rows_written) == (2, 5, 0)
+    again = run(spark, base, landed.root, options=OPTIONS, run_id="first")[0]
+    assert (again.run_seq, again.new_records, again.rows_written) == (1, 5, 5)
+    assert len(catalog(spark, base)) == 5 and read_shards(spark, base).count() == 5
+
+
+def test_without_any_broadcast(spark, base, landed, monkeypatch):
+    """Batches too large to broadcast take the shuffling joins, with the same result."""
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(job, "_BROADCAST_PREVIEWS", 0)
+    first = one(spark, base, landed, text_cap=1)
+    assert (first.new_records, first.text_fetched, first.text_pending) == (5, 1, 4)
+    landed.listing(records(5, b1="Revised"))
+    second = one(spark, base, landed, mode="full")
+    assert (second.changed_records, second.text_fetched, second.rows_written) == (1, 4, 4)
+    got = catalog(spark, base)
+    assert got["1"].title == "Revised" and all(r.searchable_text for r in got.values())
+
+
 def test_changed_record_without_text(spark, base, landed):
     one(spark, base, landed)
     landed.listing(records(5, b2="New"))

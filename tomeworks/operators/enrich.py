@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .. import fixed
+from .. import fixed, session
 from ..functions import after_front_matter, first_chars, preview
-from ..session import BROADCAST_ROWS
 from .skew import top_rows
 
 
@@ -45,7 +44,7 @@ def fetch_previews(
     key = list(key)
     keys = chosen.select(*key)
     made = preview(F.col("text"), chars).alias("preview")
-    if at_most is not None and at_most <= BROADCAST_ROWS:
+    if at_most is not None and at_most <= session.BROADCAST_ROWS:
         found = texts.join(F.broadcast(keys), key, "left_semi").select(*key, made)
     else:
         found = texts.select(*key, made).join(keys, key, "left_semi")

@@ -72,11 +72,9 @@ def normalize_listing(
     run_ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
     carried = [c for c in raw.columns if c != "raw"]
     v = F.col("v")
-    parsed = raw.select(
-        *carried,
-        F.col("raw"),
-        F.try_parse_json("raw").alias("v"),
-    )
+    # Through a one-element explode, so that a filter on the result cannot be pushed below
+    # the parse and parse every record once more.
+    parsed = raw.select(*carried, "raw", F.explode(F.array(F.try_parse_json("raw"))).alias("v"))
     staged = parsed.select(
         *carried,
         "raw",

@@ -96,14 +96,16 @@ BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None
+    df: DataFrame, max_rows: int | None = None, rows: int | None = None
 ) -> DataFrame:
-    """Broadcast hint for ``df`` only once it is known to have at most ``max_rows`` rows.
+    """Broadcast hint for ``df`` only once it is known to have at most ``max_rows`` rows
+    (BROADCAST_ROWS unless given).
 
     ``rows`` is a bound the caller has counted already; without it the rows are counted
     here, so ``df`` should be a narrow key table that is cheap to count.  Beyond the
     bound the frame is returned as it is and the join is left to the planner.
     """
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
     if rows is None:
         rows = df.limit(max_rows + 1).count()
     return F.broadcast(df) if rows <= max_rows else df
