@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tomeworks import fixed, sources
+from tomeworks import fixed, session, sources
 from tomeworks.operators import catalog, filters, normalize
 from tomeworks.sources.listing import page_ends
 
@@ -108,6 +108,25 @@ def test_catalog_latest_wins(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(provider" in plan
 
 
+def test_latest_view_does_not_move_wide_rows(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "b")
+    for run in (1, 2, 3):
+        rows = [(str(i), f"t{run}", "2026-08-14", "p", run, i) for i in range(40) if i % run == 0]
+        # Row 0 is stored twice in every run with nothing to tell the copies apart.
+        catalog.append_catalog(record(spark, [*rows, rows[0]]).repartition(3), base)
+    view = catalog.latest_shards(spark, base)
+    got = {r.source_id: r.title for r in view.collect()}
+    assert view.count() == 40 == len(got)
+    assert got == {str(i): "t3" if i % 3 == 0 else "t2" if i % 2 == 0 else "t1" for i in range(40)}
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(book_uid" in plan.split("BroadcastHashJoin")[1]
+    assert "SortMergeJoin" not in plan and "Window" not in plan
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 3)
+    ranked = catalog.latest_shards(spark, base)
+    assert "Window" in ranked._jdf.queryExecution().executedPlan().toString()
+    assert {r.source_id: r.title for r in ranked.collect()} == got and ranked.count() == 40
+
+
 def test_rows_per_file(spark, tmp_path):
     rows = [(str(i), "t", "2026-08-14", "p", 1, i) for i in range(12)]
     base = str(tmp_path / "b")

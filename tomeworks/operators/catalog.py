@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .. import fixed
+from .. import fixed, session
 from ..functions import all_digits
 from ..schema import PARTITION_COLUMNS, RECORD, STORED, conform
 from ..sources import read_shards
@@ -28,8 +29,32 @@ def latest_wins(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Data
 
 
 def latest_shards(spark: SparkSession, base: str, provider: str | None = None) -> DataFrame:
-    """Newest stored version of each record with its partition and arrival columns."""
-    return latest_wins(read_shards(spark, base, provider), ["book_uid"], RECENCY)
+    """Newest stored version of each record with its partition and arrival columns.
+
+    Most records have one version.  Narrow columns tell which have more; while those fit
+    a checked broadcast, the wide rows are filtered where they are read and never
+    shuffled.  Beyond that the rows are ranked per key.
+    """
+    # Rows that agree on everything else still have one newest: a file and row of its own.
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("at_row")
+    shards = read_shards(spark, base, provider)
+    try:
+        narrow = shards.select("book_uid", *RECENCY, place)
+    except AnalysisException:
+        return shards  # nothing stored yet: an empty table has no files
+    rank = F.struct(*RECENCY, "at_row")
+    several = (
+        narrow.groupBy("book_uid")
+        .agg(F.count(F.lit(1)).alias("versions"), F.max(rank).alias("newest"))
+        .where("versions > 1")
+        .select("book_uid", "newest")
+    )
+    found = several.limit(session.BROADCAST_ROWS + 1).count()
+    if found > session.BROADCAST_ROWS:
+        return latest_wins(shards, ["book_uid"], RECENCY)
+    marked = shards.select(*shards.columns, place).join(F.broadcast(several), "book_uid", "left")
+    newest = F.col("newest").isNull() | rank.eqNullSafe(F.col("newest"))
+    return marked.where(newest).select(*shards.columns)
 
 
 def read_catalog(spark: SparkSession, base: str, provider: str | None = None) -> DataFrame:
