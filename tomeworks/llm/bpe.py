@@ -26,26 +26,29 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import expand, flushes, parts_for, text_bytes
+from .common import Numbers, expand, flushes, parts_for, text_bytes
 
 # Characters of a flush, and bytes of text for each shard of the word table.
-FLUSH_CHARS = 6_000_000
-SHARD_BYTES = 24_000_000
+FLUSH_CHARS = 4_000_000
+SHARD_BYTES = 16_000_000
+# Signs whose class is the same in every version of Unicode, and their letters, numbers and spaces.
 _ODD = re.compile("[^\x00-ɏ‐-‧]")
+_CLASSES = {r"\p{L}": "A-Za-zªµºÀ-ÖØ-öø-ɏ", r"\p{N}": "0-9²³¹¼-¾", r"\s": "\t-\r \x85\xa0"}
 
 
 class Splitter:
     """Cuts a text into the words that the tokenizer merges within."""
 
     def __init__(self, tokenizer_file: str, pattern: str):
-        import regex
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.find = regex.compile(pattern).findall
+        self.find = re.compile(narrowed(pattern)).findall
+        self.shown = str.maketrans({chr(b): c for c, b in byte_signs().items()})
+        self.merge = self.tokenizer.model.tokenize
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
 
@@ -64,17 +67,42 @@ class Splitter:
         return [w for i, x in enumerate(parts) if x for w in ([x] if i % 2 else self.plain(x))]
 
     def encode(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        """The ids of single words."""
+        shown = [w.encode().decode("latin-1").translate(self.shown) for w in words]
+        special = self.special.fullmatch if self.special else lambda w: None
+        return [
+            [self.tokenizer.token_to_id(w)] if special(w) else [t.id for t in self.merge(s)]
+            for w, s in zip(words, shown)
+        ]
 
 
-def pieces(tokenizer_file: str) -> list[bytes]:
-    """The bytes of every id.  A byte-level vocabulary writes each byte as one sign: printable
-    ones as themselves, the others as the signs from 256 on, in order."""
-    from tokenizers import Tokenizer
+def narrowed(pattern: str) -> str:
+    """``pattern`` with the classes of letters, numbers and spaces spelled out."""
+
+    def put(m: re.Match) -> str:
+        if m[0][0] != "[":
+            return f"[^{_CLASSES[r'\s']}]" if m[0] == r"\S" else f"[{_CLASSES[m[0]]}]"
+        out = m[0]
+        for name, signs in _CLASSES.items():
+            out = out.replace(name, signs)
+        return out
+
+    return re.sub(r"\[[^\]]*\]|\\p\{[LN]\}|\\s|\\S", put, pattern)
+
 
+def byte_signs() -> dict[str, int]:
+    """A byte-level vocabulary writes each byte as one sign: printable ones as themselves, the
+    others as the signs from 256 on, in order."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in shown]
-    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def pieces(tokenizer_file: str) -> list[bytes]:
+    """The bytes of every id."""
+    from tokenizers import Tokenizer
+
+    byte_of = byte_signs()
     vocab = Tokenizer.from_file(tokenizer_file).get_vocab(with_added_tokens=True)
     table = [b""] * (max(vocab.values()) + 1)
     for piece, i in vocab.items():
@@ -123,7 +151,8 @@ def encode(
     """``result(doc_ids, texts, ids)`` for the documents of each flush, a frame of ``schema``;
     ``ids`` is a list of unsigned arrays, and a null id is None."""
     scan = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    shards = parts_for(text_bytes(scan), SHARD_BYTES)
+    total = text_bytes(scan)
+    shards = parts_for(total, SHARD_BYTES)
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         splitter = Splitter(tokenizer_file, pattern)
@@ -139,10 +168,11 @@ def encode(
         import zstandard
 
         splitter = Splitter(tokenizer_file, pattern)
-        number: dict[str, int] = {}
-        each = []
-        for sizes, body in zip(asked["sizes"], asked["body"]):
-            each.append(np.array([number.setdefault(w, len(number)) for w in _unpack(sizes, body)], np.int64))
+        number = Numbers()
+        each = [
+            np.array([*map(number.__getitem__, _unpack(sizes, body))], np.int64)
+            for sizes, body in zip(asked["sizes"], asked["body"])
+        ]
         counts, flat = np.zeros(len(number), np.int64), []
         words = list(number)
         for lo in range(0, len(words), 20_000):
@@ -178,8 +208,8 @@ def encode(
         doc_ids = np.array(np.frombuffer(mine["ids"], np.int64, n), object)
         doc_ids[null] = None
         splitter = Splitter(tokenizer_file, pattern)
-        number: dict[str, int] = {}
-        lists = [np.array([number.setdefault(w, len(number)) for w in splitter.words(t)], np.int64) for t in texts]
+        number = Numbers()
+        lists = [np.array([*map(number.__getitem__, splitter.words(t))], np.int64) for t in texts]
         shard = _shards(list(number), shards)
         counts, starts, flat, before = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64), [], 0
         answers = {r.shard: r for r in rows[~own].itertuples()}
@@ -199,7 +229,7 @@ def encode(
     row = "flush long, shard int, ids binary, sizes binary, body binary"
     answers = asked.repartition(shards, "shard").groupBy("shard").applyInPandas(answer, row)
     both = scan.mapInPandas(send, row).union(answers)
-    return both.groupBy("flush").applyInPandas(join, schema)
+    return both.repartition(parts_for(total, FLUSH_CHARS), "flush").groupBy("flush").applyInPandas(join, schema)
 
 
 def decode(ids: np.ndarray, table: list[bytes]) -> str:

@@ -66,6 +66,14 @@ def hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+class Numbers(dict):
+    """Numbers new words in the order they come."""
+
+    def __missing__(self, word) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).astype(np.int64)
 

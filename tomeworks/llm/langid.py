@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import stage
+from .common import Numbers, stage
 
 UNKNOWN = "und"
 START = "▁"
@@ -110,14 +110,6 @@ class Pieces:
         return lengths, found
 
 
-class _Numbers(dict):
-    """Numbers new words in the order they come."""
-
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self)
-        return number
-
-
 def _roll(h: np.ndarray, code: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return (h ^ code) * np.uint64(0x9E3779B97F4A7C15) + (h >> np.uint64(29))
@@ -245,12 +237,12 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: dict[st
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = Pieces(model.rows)
-        known = _Numbers()
+        known = Numbers()
         scores = np.zeros((0, len(model.langs)))
         for batch in batches:
             lists = [words_in(t) for t in batch["__text"]]
             if len(known) > KEPT_WORDS:
-                known, scores = _Numbers(), scores[:0]
+                known, scores = Numbers(), scores[:0]
             first = len(known)
             ids = np.fromiter(map(known.__getitem__, chain.from_iterable(lists)), np.int64, sum(map(len, lists)))
             fresh = list(known)[first:]
