@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, langid, lines, simhash
+from . import bpe, contamination, langid, lines, simhash, substrings
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,31 @@ def op4_lines(spark, sf_dir):
     )
 
 
+@query(
+    r"""
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    p AS (
+      SELECT doc_id, s, w[s : s + 19] AS win
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)),
+    r AS (
+      SELECT doc_id, s FROM (
+        SELECT doc_id, s, row_number() OVER (PARTITION BY win ORDER BY doc_id, s) AS k FROM p) WHERE k > 1),
+    g AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS k FROM r),
+    c AS (SELECT doc_id, count(*) AS n, list(k) AS gone FROM g GROUP BY doc_id),
+    k AS (
+      SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS kept FROM (
+        SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d)
+      ANTI JOIN g USING (doc_id, k) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+      sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id)
+    """
+)
+def op5_substrings(spark, sf_dir):
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op7_bpe(spark, sf_dir):
     return bpe.digests(
