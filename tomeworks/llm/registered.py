@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, langid, lines, simhash, substrings
+from . import bpe, contamination, langid, lines, perplexity, simhash, substrings
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op2_perplexity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 5) == 1
+    model = perplexity.fit(docs.filter(~held_out))
+    keep = {"doc_id": F.col("doc_id"), "held_out": held_out, "train_tokens": F.lit(model.tokens).cast("long")}
+    return perplexity.score(docs, model, keep)
+
+
 @query()
 def op3_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
