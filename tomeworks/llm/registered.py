@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, langid, lines, perplexity, simhash, substrings
+from . import bpe, contamination, langid, lines, perplexity, simhash, substrings, topk
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x : CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings
+      WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x : x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+    s AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[]) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+    r AS (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+    """
+)
+def op1_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query()
 def op2_perplexity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
