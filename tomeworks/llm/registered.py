@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, langid, lines, perplexity, simhash, substrings, topk
+from . import bpe, contamination, langid, lines, perplexity, simhash, substrings, topk, urls
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,6 +116,58 @@ def op8_langid(spark, sf_dir):
     return langid.predict(docs, model, keep={"doc_id": F.col("doc_id"), "held_out": held_out})
 
 
+@query(
+    r"""
+    WITH u AS (
+      SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS fetched,
+        lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#@]*@)?([^/:?#]*)', 2)) AS host,
+        list_filter(string_split(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'),
+          lambda x : x <> '') AS steps
+      FROM pages),
+    e AS (
+      SELECT DISTINCT
+        CASE page_id % 3 WHEN 0 THEN 'allow' WHEN 1 THEN 'adult' ELSE 'spam' END AS list,
+        CASE WHEN page_id % 2 = 0 OR len(steps) = 0 THEN host ELSE host || '/' || steps[1] END AS pattern,
+        CASE WHEN page_id % 5 = 0 THEN 'remove' ELSE 'add' END AS action,
+        DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INTEGER) AS dated
+      FROM u WHERE host <> ''),
+    l AS (SELECT list, pattern, dated, max(action) AS action FROM e GROUP BY ALL),
+    i AS (
+      SELECT list, pattern, dated AS since, action,
+        lead(dated) OVER (PARTITION BY list, pattern ORDER BY dated) AS until FROM l),
+    k AS (
+      SELECT page_id, fetched, unnest(list_distinct(list_concat(
+        list_transform(range(1, len(string_split(host, '.')) + 1),
+          lambda n : array_to_string(string_split(host, '.')[n:], '.')),
+        list_transform(range(1, len(steps) + 1),
+          lambda n : host || '/' || array_to_string(steps[1:n], '/'))))) AS pattern
+      FROM u WHERE host <> ''),
+    f AS (
+      SELECT page_id, list, pattern, since, count(*) OVER (PARTITION BY page_id) AS n_active,
+        row_number() OVER (PARTITION BY page_id ORDER BY length(pattern) DESC, pattern DESC, list DESC) AS place
+      FROM k JOIN i USING (pattern)
+      WHERE action = 'add' AND since <= fetched AND (until IS NULL OR fetched < until))
+    SELECT u.page_id, url, fetched, coalesce(list <> 'allow', false) AS blocked, list, pattern, since,
+      CAST(coalesce(n_active, 0) AS BIGINT) AS n_active
+    FROM u LEFT JOIN f ON u.page_id = f.page_id AND place = 1
+    """
+)
+def op9_urls(spark, sf_dir):
+    """Every page is a capture, and names one dated entry of a list: its host, or host and first step."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int"))
+    page = F.col("page_id")
+    keys, host = urls.keys_of(F.col("url")), urls.host_of(F.col("url"))
+    step = F.get(F.filter(keys, lambda k: k.contains("/")), F.lit(0))
+    entries = pages.filter(host != "").select(
+        F.when(page % 3 == 0, urls.ALLOW).when(page % 3 == 1, "adult").otherwise("spam").alias("list"),
+        F.when(page % 2 == 0, host).otherwise(F.coalesce(step, host)).alias("pattern"),
+        F.when(page % 5 == 0, "remove").otherwise("add").alias("action"),
+        day(page * 37 % 366).alias("dated"),
+    )
+    return urls.evaluate(pages.withColumn("fetched", day(page % 366)), entries)
+
+
 @query(
     r"""
     WITH d AS (
