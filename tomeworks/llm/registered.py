@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, langid, lines, perplexity, simhash, substrings, topk, urls
+from . import bpe, contamination, langid, lines, perplexity, pii, simhash, substrings, topk, urls
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,11 @@ def op5_substrings(spark, sf_dir):
     return substrings.digests(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op6_pii(spark, sf_dir):
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op7_bpe(spark, sf_dir):
     return bpe.digests(
