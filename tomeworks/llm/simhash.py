@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import components, forest, parts_for, popcount, stage, words_of
+from .common import components, forest, keyed, parts_for, popcount, stage, words_of
 
 # Fingerprints of one trie node at most; two nodes meet in one row of work.
 NODE_ROWS = 8192
@@ -57,15 +57,15 @@ def fingerprint(words: list[bytes], shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) for every row."""
+    """``doc_id, text_key, fp`` (the 64 bits as a signed long) for every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = np.array([fingerprint(words_of(t), shingle) for t in batch["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": values.view(np.int64)})
+            out = batch[["doc_id", "text_key"]].astype({"doc_id": "Int64"})
+            yield out.assign(fp=values.view(np.int64))
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(run, "doc_id long, fp long")
+    return keyed(docs, id_col, text_col).mapInPandas(run, "doc_id long, text_key long, fp long")
 
 
 def _common_prefix(low: int, high: int) -> int:
@@ -215,10 +215,31 @@ def _flips(bits: int, budget: int) -> list[int]:
     return [sum(1 << i for i in c) for n in range(budget + 1) for c in combinations(range(bits), n)]
 
 
+def drop_near_duplicates(
+    docs: DataFrame, shingle: int = 3, budget: int = 2, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each group: the least id (null last), then the least hash of the text."""
+    found = stage(near_duplicates(docs, shingle, budget, id_col, text_col), "simhash")
+    last = F.lit((1 << 63) - 1)
+    own = F.struct(F.coalesce("doc_id", last).alias("i"), F.col("text_key").alias("k"))
+    # the root tells groups apart whose least ids are equal or null
+    best = found.groupBy("root").agg(F.min(own).alias("keep"))
+    keep = stage(best.select(F.when(F.col("keep.i") != last, F.col("keep.i")).alias("__id"), F.col("keep.k").alias("__key")), "simhash")
+    # rows equal in id and text are in one group, and only one of them stays
+    times = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).filter("n > 1")
+    twins = stage(times.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")), "simhash")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__key"))
+    left = docs.join(keep, same, "left_semi")
+    if twins.isEmpty():
+        return left
+    return left.join(twins, same, "left_anti").unionByName(left.join(twins, same, "left_semi").dropDuplicates([id_col, text_col]))
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, budget: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row; component_id is the least id reachable."""
+    """``doc_id, text_key, fp, root, component_id`` for every row: the least fingerprint and
+    the least id reachable."""
     prints = stage(fingerprints(docs, shingle, id_col, text_col), "simhash")
     roots = components(linked(prints.select("fp").distinct(), budget), "simhash")
     # a copy of a fingerprint is one row here, however many documents have it
@@ -228,5 +249,5 @@ def near_duplicates(
     )
     named = stage(named, "simhash")
     group = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = named.join(group, "root").select("fp", "component_id")
-    return prints.join(names, "fp").select("doc_id", "fp", "component_id")
+    names = named.join(group, "root").select("fp", "root", "component_id")
+    return prints.join(names, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
