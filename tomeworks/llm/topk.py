@@ -192,7 +192,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
             )
             numbers = bucket.select("block", "top", _class(F.col("top")).alias("class")).join(reach, "class").filter("weakest <= top")
         else:
-            numbers = query.select(F.lit(first).alias("block"), F.col("block").alias("block_q"))
+            # every query block asks for the first bucket; as a literal the key would make a cross join
+            own = F.col("block")
+            numbers = query.select((own - own + first).alias("block"), own.alias("block_q"))
         return numbers.select("block", "block_q").join(bucket, "block").join(named, "block_q").mapInPandas(
             run, "query_id long, vec_id long, score long"
         )
