@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Numbers, stage
+from .common import Numbers, by_length, flushes, stage
 
 UNKNOWN = "und"
 START = "▁"
@@ -39,9 +39,11 @@ LONGEST = 8
 # Probability of a letter that no piece covers, and the pseudo-count of a piece.
 RARE = 1e-7
 SMOOTH = 0.05
+# Characters whose words a worker holds at once.
+FLUSH_CHARS = 2_000_000
 # Words scored at once, and words whose scores a worker keeps.
 BATCH_WORDS = 20_000
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 
 
 @dataclass
@@ -192,7 +194,7 @@ def fit(
     sample = rows.filter(place < share).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in flushes(batches, by_length("text"), FLUSH_CHARS):
             found = Counter()
             for lang, text in zip(batch["lang"], batch["text"]):
                 for word, n in Counter(words_in(text)).items():
@@ -239,7 +241,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: dict[st
         pieces = Pieces(model.rows)
         known = Numbers()
         scores = np.zeros((0, len(model.langs)))
-        for batch in batches:
+        for batch in flushes(batches, by_length("__text"), FLUSH_CHARS):
             lists = [words_in(t) for t in batch["__text"]]
             if len(known) > KEPT_WORDS:
                 known, scores = Numbers(), scores[:0]
