@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame, functions as F
 from .common import components, forest, keyed, parts_for, popcount, stage, words_of
 
 # Fingerprints of one trie node at most; two nodes meet in one row of work.
-NODE_ROWS = 8192
+NODE_ROWS = 4096
 # Pairs of nodes with at most so many combinations are compared outright.
 OUTRIGHT = 64
 # Neighbours of a prefix at most; beyond it a shorter prefix is joined and the rest filtered.
 MOST_FLIPS = 512
 # Node pairs that descend together at once; bounds the memory of a task.
-FRONTIER = 1 << 20
+FRONTIER = 1 << 16
 
 
 def fingerprint(words: list[bytes], shingle: int) -> int:
@@ -122,7 +122,9 @@ def _join_nodes(pairs: list[tuple[np.ndarray, np.ndarray]], budget: int) -> Iter
         level, box, spent = todo.pop()
         if len(box) > FRONTIER:
             half = len(box) // 2
-            todo += [(level, box[half:], spent[half:]), (level, box[:half], spent[:half])]
+            # the part that waits is a copy, so that the whole can go
+            todo += [(level, box[half:].copy(), spent[half:].copy()), (level, box[:half].copy(), spent[:half].copy())]
+            del box, spent
             continue
         size = (box[:, 1] - box[:, 0]) * (box[:, 3] - box[:, 2])
         small = (size <= OUTRIGHT) | (level == 64)
@@ -155,7 +157,7 @@ def _join_nodes(pairs: list[tuple[np.ndarray, np.ndarray]], budget: int) -> Iter
 def _outright(every, box, budget):
     na, nb = box[:, 1] - box[:, 0], box[:, 3] - box[:, 2]
     size = na * nb
-    for part in np.array_split(np.arange(len(box)), 1 + int(size.sum()) // (1 << 22)):
+    for part in np.array_split(np.arange(len(box)), 1 + int(size.sum()) // (1 << 19)):
         n = size[part]
         which = np.repeat(part, n)
         k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
@@ -194,8 +196,8 @@ def linked(distinct: DataFrame, budget: int, label: str = "simhash") -> DataFram
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for lo in range(0, len(batch), 64):
-                part = batch.iloc[lo : lo + 64]
+            for lo in range(0, len(batch), 16):
+                part = batch.iloc[lo : lo + 16]
                 pairs = [
                     (np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(part["fa"], part["fb"])
                 ]
