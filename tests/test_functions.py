@@ -110,10 +110,10 @@ def test_string_list_shapes(spark):
 
 
 def test_author_shapes(spark):
-    values = ['{"a":[{"name":"Austen, Jane","id":68,"birth_year":1775},"Anon",{}]}', '{"a":null}', "{}"]
+    values = ['{"a":[{"name":"Quill, Osbert","id":503,"birth_year":1834},"Anon",{}]}', '{"a":null}', "{}"]
     got = apply(spark, values, lambda c: author_list(F.try_parse_json(c), "$.a"))
     assert [tuple(a) for a in got[0]] == [
-        ("Austen, Jane", "68", 1775, None), ("Anon", None, None, None), ("", None, None, None)
+        ("Quill, Osbert", "503", 1834, None), ("Anon", None, None, None), ("", None, None, None)
     ]
     assert got[1:] == [[], []]
 

@@ -1,35 +1,40 @@
 """End-to-end scenarios of the incremental run."""
 
+import json
 import os
 from dataclasses import replace
+from datetime import datetime, timezone
 
 import pytest
 
 from tomeworks.operators.catalog import catalog_state, latest_shards, manifest_summary, read_catalog
 from tomeworks import session
 from tomeworks.plans import job
-from tomeworks.plans.job import RunOptions, run
+from tomeworks.plans.job import RunOptions, ingest, run
 from tomeworks.plans.runlog import read_run_log
 from tomeworks.sources import read_shards
+from tomeworks.sources.listing import PAGES
 
-OPTIONS = RunOptions(max_rows=100, budget=50, text_cap=10, rows_per_file=2)
+OPTIONS = RunOptions(max_rows=400, budget=60, text_cap=40, rows_per_file=3)
+FIRST = 31
 
 
-def records(n, **changed):
-    out = [{"id": i, "title": f"Book {i}", "download_count": 10 * i} for i in range(1, n + 1)]
-    for key, title in changed.items():
-        out[int(key[1:]) - 1]["title"] = title
-    return out
+def shelf(size, retitled=()):
+    """``size`` listed works, the later ones wanted less; the places in ``retitled`` have a new name."""
+    return [
+        {"id": FIRST + i, "title": f"{'Renamed' if i in retitled else 'Tome'} no. {i}", "download_count": 900 - 7 * i}
+        for i in range(size)
+    ]
 
 
-def texts(n):
-    return {i: f"text for {i}" for i in range(1, n + 1)}
+def openings(size):
+    return {FIRST + i: f"{i} opens here" for i in range(size)}
 
 
 def catalog(spark, base):
     rows = read_catalog(spark, base).collect()
     assert len({r.book_uid for r in rows}) == len(rows)
-    return {r.source_id: r for r in rows}
+    return {int(r.source_id) - FIRST: r for r in rows}
 
 
 @pytest.fixture
@@ -39,94 +44,150 @@ def base(tmp_path):
 
 @pytest.fixture
 def landed(spark, land):
-    return land.listing(records(5)).texts(spark, texts(5))
+    """Seven works on pages of three: 3, 3 and 1."""
+    return land.listing(shelf(7), page_size=3).texts(spark, openings(7))
 
 
 def one(spark, base, landed, **changes):
     return run(spark, base, landed.root, options=replace(OPTIONS, **changes))[0]
 
 
-def test_full_run_then_repeat_then_growth(spark, base, landed):
-    first = one(spark, base, landed)
-    assert (first.new_records, first.rows_written, first.text_fetched) == (5, 5, 5)
-    assert (first.text_pending, first.last_page, first.pages_read) == (0, 3, 3)
-    assert first.stopped_reason == "completed" and "5 new" in first.summary()
+def test_a_second_run_only_adds_what_is_new(spark, base, landed):
+    reports = [one(spark, base, landed), one(spark, base, landed)]
+    landed.listing(shelf(9), page_size=3, only={3}).texts(spark, {FIRST + 8: "8 opens here"})
+    reports.append(one(spark, base, landed))
+    log = read_run_log(spark, base).orderBy("run_seq").collect()
+    assert [(r.new_records, r.unchanged_records, r.rows_written, r.text_fetched) for r in log] == [
+        (7, 0, 7, 7), (0, 1, 0, 0), (2, 1, 2, 1)
+    ]
+    assert [(r.last_page, r.pages_read, r.text_pending) for r in reports] == [(3, 3, 0), (3, 1, 0), (3, 1, 1)]
+    assert [r.as_row(spark).first().stopped_reason for r in reports] == ["completed"] * 3
     got = catalog(spark, base)
-    assert {k: v.searchable_text for k, v in got.items()} == {str(i): f"text for {i}" for i in range(1, 6)}
-    assert all(r.text_source == "first_chars" and r.text_char_count == 10 for r in got.values())
+    assert {i: r.searchable_text for i, r in got.items()} == {i: f"{i} opens here" for i in (*range(7), 8)} | {7: None}
+    assert {r.text_source for i, r in got.items() if i != 7} == {"first_chars"}
     state = catalog_state(latest_shards(spark, base)).first()
-    assert (state.total_records, state.max_id_seen) == (5, 5)
-    files = manifest_summary(spark.read.parquet(f"{base}/_manifest")).first()
-    assert files.rows == 5 and files.shards >= 3
-
-    again = one(spark, base, landed)
-    assert (again.new_records, again.changed_records, again.rows_written) == (0, 0, 0)
-    assert again.unchanged_records == 1  # only the last page is read again
-
-    landed.listing(records(6), only={3}).texts(spark, {6: "text for 6"})
-    grown = one(spark, base, landed)
-    assert (grown.new_records, grown.rows_written) == (1, 1)
-    assert set(catalog(spark, base)) == {"1", "2", "3", "4", "5", "6"}
-    log = read_run_log(spark, base).orderBy("run_seq").collect()
-    assert [r.new_records for r in log] == [5, 0, 1]
+    assert (state.total_records, state.max_id_seen) == (9, FIRST + 8)
+    files = manifest_summary(spark.read.parquet(f"{base}/_manifest")).collect()
+    assert sum(f.rows for f in files) == 9
 
 
-def test_changed_record_in_full_mode(spark, base, landed):
+def test_only_a_full_run_sees_changes_on_early_pages(spark, base, landed):
     one(spark, base, landed)
-    landed.listing(records(5, b1="Book 1 (revised)"))
+    landed.listing(shelf(7, {0, 4}), page_size=3)
+    assert one(spark, base, landed).changed_records == 0
     report = one(spark, base, landed, mode="full")
-    assert (report.changed_records, report.new_records, report.rows_written) == (1, 0, 1)
-    got = catalog(spark, base)
-    assert got["1"].title == "Book 1 (revised)" and len(got) == 5
+    assert (report.changed_records, report.unchanged_records, report.rows_written) == (2, 5, 2)
+    assert {i for i, r in catalog(spark, base).items() if r.title.startswith("Renamed")} == {0, 4}
 
 
-def test_budget_of_one_page_resumes(spark, base, landed):
-    first = one(spark, base, landed, budget=1)
-    assert (first.new_records, first.text_pending, first.last_page) == (2, 2, 1)
-    assert "budget" in first.stopped_reason
+def test_page_limit_then_the_rest(spark, base, landed):
+    first = one(spark, base, landed, budget=2)
+    assert (first.new_records, first.text_fetched, first.last_page) == (6, 0, 2)
+    assert "page limit 2" in first.stopped_reason
     second = one(spark, base, landed)
-    assert second.new_records == 3 and second.text_fetched == 5
+    assert (second.new_records, second.unchanged_records, second.text_fetched) == (1, 3, 7)
     got = catalog(spark, base)
-    assert len(got) == 5 and all(r.searchable_text for r in got.values())
+    assert len(got) == 7 and all(r.searchable_text for r in got.values())
     # Text that arrives later does not move the time a record was listed.
     seen = {r.source_id: r.ingested_at for r in read_shards(spark, base).where("run_seq = 1").collect()}
-    assert got["1"].ingested_at == seen["1"]
+    assert got[5].ingested_at == seen[str(FIRST + 5)]
+
 
+def test_row_limit_ends_on_a_whole_page(spark, base, landed):
+    first = one(spark, base, landed, max_rows=4, stages=("metadata",))
+    assert (first.new_records, first.last_page) == (6, 2) and "row limit 4 on page 2" in first.stopped_reason
+    second = one(spark, base, landed, max_rows=4, stages=("metadata",))
+    assert (second.new_records, second.unchanged_records, second.last_page) == (1, 3, 3)
+    assert sorted(catalog(spark, base)) == list(range(7))
 
-def test_capped_runs_end_on_a_page_and_move_on(spark, base, landed):
-    first = one(spark, base, landed, max_rows=3, stages=("metadata",))
-    assert (first.new_records, first.last_page) == (4, 2)
-    assert "max_rows" in first.stopped_reason
-    second = one(spark, base, landed, max_rows=1, stages=("metadata",))
-    assert (second.new_records, second.unchanged_records, second.last_page) == (1, 2, 3)
-    assert len(catalog(spark, base)) == 5
 
+def test_without_limits_all_is_taken(spark, base, land):
+    land.listing(shelf(1200), page_size=400)
+    assert run(spark, base, land.root)[0].new_records == 1200
 
-def test_text_budget_prefers_most_wanted(spark, base, land):
-    land.listing(records(5)).texts(spark, {**texts(5), 3: "    "})
-    report = one(spark, base, land, text_cap=2)
-    assert (report.text_fetched, report.text_pending) == (2, 3)
-    assert {k for k, r in catalog(spark, base).items() if r.searchable_text} == {"4", "5"}
-    # A blank text leaves its record as it is.
+
+def test_text_goes_to_the_most_wanted(spark, base, land):
+    land.listing(shelf(7), page_size=3).texts(spark, {**openings(7), FIRST + 2: " \n "})
+    report = one(spark, base, land, text_cap=3)
+    # The blank text of a wanted work leaves that work as it is.
+    assert (report.text_fetched, report.text_pending) == (2, 5) and "text limit 3" in report.stopped_reason
+    assert {i for i, r in catalog(spark, base).items() if r.searchable_text} == {0, 1}
     later = one(spark, base, land)
-    assert (later.text_fetched, later.text_pending, later.rows_written) == (2, 1, 2)
+    assert (later.text_fetched, later.text_pending, later.rows_written) == (4, 1, 4)
     got = catalog(spark, base)
-    assert got["3"].searchable_text is None and got["3"].text_source == "none"
-    assert len([r for r in got.values() if r.searchable_text]) == 4
+    assert [i for i, r in got.items() if not r.searchable_text] == [2] and got[2].text_source == "none"
 
 
-def test_dry_run_writes_nothing(spark, base, landed):
+def test_dry_run_leaves_no_trace(spark, base, landed):
     report = one(spark, base, landed, dry_run=True)
-    assert report.new_records == 5 and "dry run" in report.stopped_reason
+    assert report.new_records == 7 and "nothing stored" in report.stopped_reason
     assert not os.path.exists(base)
 
 
-def test_metadata_stage_only(spark, base, landed):
+def test_stages_by_themselves(spark, base, landed):
     report = one(spark, base, landed, stages=("metadata",))
-    assert (report.new_records, report.text_fetched) == (5, 0)
+    assert (report.new_records, report.text_fetched) == (7, 0)
     assert all(r.searchable_text is None for r in catalog(spark, base).values())
     later = one(spark, base, landed, stages=("text",))
-    assert (later.new_records, later.text_fetched) == (0, 5)
+    assert (later.new_records, later.text_fetched) == (0, 7)
+
+
+def pages(spark, *rows):
+    body = [(p, r, json.dumps({"next": "x", "results": [{"id": i, "title": t} for i, t in found]})) for p, r, found in rows]
+    return spark.createDataFrame([("gutenberg", *x) for x in body], PAGES)
+
+
+def test_pages_fetched_again_count_once(spark, base):
+    """The newest fetch of a page alone is taken, however often it was delivered."""
+    table = pages(
+        spark, (1, 1, [(FIRST, "a"), (FIRST + 1, "b")]), (1, 2, [(FIRST + 2, "c"), (FIRST, "a2")]),
+        (1, 2, [(FIRST + 2, "c"), (FIRST, "a2")]), (2, 1, [(FIRST + 3, "d")]),
+    )
+    report = ingest(spark, base, table, "gutenberg", RunOptions(), "r1", datetime(2026, 1, 1, tzinfo=timezone.utc))
+    assert (report.new_records, report.rows_written) == (3, 3)
+    assert {i: r.title for i, r in catalog(spark, base).items()} == {0: "a2", 2: "c", 3: "d"}
+
+
+def test_broken_page_is_set_aside_and_passed(spark, base, land):
+    land.listing(shelf(9), page_size=3)
+    folder = f"{land.root}/listing/provider=gutenberg"
+    with open(f"{folder}/page-000002.run-1.json") as page:
+        half = page.read()[:60]
+    with open(f"{folder}/page-000002.run-2.json", "w") as page:
+        page.write(half)
+    report = one(spark, base, land, stages=("metadata",))
+    assert (report.new_records, report.quarantined, report.last_page) == (6, 1, 3)
+
+
+def test_page_without_run_in_its_name(spark, base, land):
+    land.listing(shelf(2), page_size=2)
+    folder = f"{land.root}/listing/provider=gutenberg"
+    os.rename(f"{folder}/page-000001.run-1.json", f"{folder}/page-000001.json")
+    assert one(spark, base, land, stages=("metadata",)).new_records == 2
+    with open(f"{folder}/page-one.json", "w") as page:
+        page.write("{}")
+    with pytest.raises(Exception, match="not the name of a page"):
+        one(spark, base, land, mode="full", stages=("metadata",))
+
+
+def records(n, **changed):
+    out = [{"id": i, "title": f"Work {i}", "download_count": 10 * i} for i in range(1, n + 1)]
+    for key, title in changed.items():
+        out[int(key[1:]) - 1]["title"] = title
+    return out
+
+
+def texts(n):
+    return {i: f"{i} starts" for i in range(1, n + 1)}
+
+
+def by_id(spark, base):
+    return {str(i + FIRST): r for i, r in catalog(spark, base).items()}
+
+
+@pytest.fixture
+def five(spark, land):
+    return land.listing(records(5)).texts(spark, texts(5))
 
 
 def test_malformed_records_are_set_aside(spark, base, land):
@@ -141,67 +202,67 @@ def test_same_id_twice_in_one_run_is_stored_once(spark, base, land):
     land.listing([*records(2), {"id": 1, "title": "later copy"}])
     report = one(spark, base, land)
     assert (report.new_records, report.rows_written) == (3, 2)
-    assert catalog(spark, base)["1"].title == "later copy"
+    assert by_id(spark, base)["1"].title == "later copy"
 
 
-def test_run_delivered_twice_lands_once(spark, base, landed):
+def test_run_delivered_twice_lands_once(spark, base, five):
     for _ in range(2):
-        report = run(spark, base, landed.root, options=OPTIONS, run_id="same")[0]
+        report = run(spark, base, five.root, options=OPTIONS, run_id="same")[0]
         assert (report.run_seq, report.new_records, report.rows_written) == (1, 5, 5)
     assert read_shards(spark, base).count() == 5
     assert read_run_log(spark, base).count() == 1
 
 
-def test_run_that_died_is_repeated_whole(spark, base, landed, monkeypatch):
+def test_run_that_died_is_repeated_whole(spark, base, five, monkeypatch):
     def die(*_):
         raise RuntimeError("executor lost")
 
     with monkeypatch.context() as patched:
         patched.setattr(job, "write_report", die)
         with pytest.raises(RuntimeError):
-            run(spark, base, landed.root, options=OPTIONS, run_id="first")
+            run(spark, base, five.root, options=OPTIONS, run_id="first")
     # Another run comes between and may not take the number of the one that died.
-    between = one(spark, base, landed)
+    between = one(spark, base, five)
     assert (between.run_seq, between.unchanged_records, between.rows_written) == (2, 5, 0)
-    again = run(spark, base, landed.root, options=OPTIONS, run_id="first")[0]
+    again = run(spark, base, five.root, options=OPTIONS, run_id="first")[0]
     assert (again.run_seq, again.new_records, again.rows_written) == (1, 5, 5)
-    assert len(catalog(spark, base)) == 5 and read_shards(spark, base).count() == 5
+    assert len(by_id(spark, base)) == 5 and read_shards(spark, base).count() == 5
 
 
-def test_without_any_broadcast(spark, base, landed, monkeypatch):
+def test_without_any_broadcast(spark, base, five, monkeypatch):
     """Batches too large to broadcast take the shuffling joins, with the same result."""
     monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(job, "_BROADCAST_PREVIEWS", 0)
-    first = one(spark, base, landed, text_cap=1)
+    first = one(spark, base, five, text_cap=1)
     assert (first.new_records, first.text_fetched, first.text_pending) == (5, 1, 4)
-    landed.listing(records(5, b1="Revised"))
-    second = one(spark, base, landed, mode="full")
+    five.listing(records(5, b1="Revised"))
+    second = one(spark, base, five, mode="full")
     assert (second.changed_records, second.text_fetched, second.rows_written) == (1, 4, 4)
-    got = catalog(spark, base)
+    got = by_id(spark, base)
     assert got["1"].title == "Revised" and all(r.searchable_text for r in got.values())
 
 
-def test_changed_record_without_text(spark, base, landed):
-    one(spark, base, landed)
-    landed.listing(records(5, b2="New"))
-    one(spark, base, landed, mode="full", stages=("metadata",))
-    assert catalog(spark, base)["2"].searchable_text is None
-    landed.listing(records(5, b2="Newer", b3="New"))
-    one(spark, base, landed, mode="full", stages=("metadata",), carry_text=True)
-    got = catalog(spark, base)
-    assert got["3"].searchable_text == "text for 3" and got["3"].title == "New"
+def test_changed_record_without_text(spark, base, five):
+    one(spark, base, five)
+    five.listing(records(5, b2="New"))
+    one(spark, base, five, mode="full", stages=("metadata",))
+    assert by_id(spark, base)["2"].searchable_text is None
+    five.listing(records(5, b2="Newer", b3="New"))
+    one(spark, base, five, mode="full", stages=("metadata",), carry_text=True)
+    got = by_id(spark, base)
+    assert got["3"].searchable_text == "3 starts" and got["3"].title == "New"
     assert got["2"].searchable_text is None and got["2"].title == "Newer"
 
 
-def test_unknown_provider(spark, base, landed):
-    with pytest.raises(ValueError, match="registered: gutenberg"):
-        run(spark, base, landed.root, providers=("nowhere",))
+def test_unknown_provider(spark, base, five):
+    with pytest.raises(ValueError, match="nowhere"):
+        run(spark, base, five.root, providers=("nowhere",))
 
 
 def test_a_page_still_to_land_is_waited_for(spark, base, land):
     land.listing(records(6), only={1, 3})
     first = one(spark, base, land, stages=("metadata",))
-    assert (first.new_records, first.last_page) == (2, 1) and "page 2" in first.stopped_reason
+    assert (first.new_records, first.last_page) == (2, 1) and "awaiting page 2" in first.stopped_reason
     land.listing(records(6), only={2})
     second = one(spark, base, land, stages=("metadata",))
     assert (second.new_records, second.last_page) == (4, 3)
@@ -218,7 +279,7 @@ def test_providers_side_by_side(spark, base, land):
     land.listing(records(3))
     reports = run(spark, base, land.root, ("gutenberg", "second"), OPTIONS)
     assert [(r.new_records, r.unchanged_records) for r in reports] == [(3, 0), (0, 2)]
-    uids = {r.book_uid for r in read_catalog(spark, base).collect()}
+    uids = {r.book_uid for r in read_by_id(spark, base).collect()}
     assert uids == {"gutenberg:1", "gutenberg:2", "gutenberg:3", "second:1", "second:2"}
 
 
@@ -226,4 +287,4 @@ def test_pages_behind_the_end_are_not_read(spark, base, land):
     land.listing(records(6))
     land.listing(records(3))  # the listing shrank: page 2 is now the last
     assert one(spark, base, land, stages=("metadata",)).last_page == 2
-    assert set(catalog(spark, base)) == {"1", "2", "3"}
+    assert set(by_id(spark, base)) == {"1", "2", "3"}

@@ -86,11 +86,23 @@ def test_vectors_against_brute_force(spark):
     assert joined.count() == 1
 
 
-def test_more_queries_than_allowed(spark, monkeypatch):
-    monkeypatch.setattr(vectors, "MAX_QUERIES", 1)
-    queries = spark.createDataFrame([(1, [1.0]), (2, [1.0])], "query_id int, embedding array<double>")
-    with pytest.raises(ValueError, match="at most 1"):
-        vectors.nearest(queries.withColumnRenamed("query_id", "vec_id"), queries, 1)
+def test_queries_in_several_blocks(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, [float(i), 9.0]) for i in range(1, 8)], "vec_id int, embedding array<double>")
+    queries = rows.withColumnRenamed("vec_id", "query_id")
+    whole = sorted(map(tuple, vectors.nearest(rows, queries, 2).collect()))
+    monkeypatch.setattr(vectors, "BLOCK_QUERIES", 3)
+    assert sorted(map(tuple, vectors.nearest(rows, queries, 2).collect())) == whole and len(whole) == 14
+
+
+def test_vectors_that_cannot_be_compared(spark):
+    rows = spark.createDataFrame([(1, [1.0, 2.0])], "vec_id int, embedding array<double>")
+    for bad in ([0.0, 0.0], None, [float("nan"), 1.0]):
+        queries = spark.createDataFrame([(1, bad)], "query_id int, embedding array<double>")
+        with pytest.raises(ValueError):
+            vectors.nearest(rows, queries, 1)
+    queries = spark.createDataFrame([(1, [1.0])], "query_id int, embedding array<double>")
+    with pytest.raises(Exception, match="length"):
+        vectors.nearest(rows, queries, 1).collect()
 
 
 def test_classify(spark):

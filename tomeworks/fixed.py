@@ -50,8 +50,9 @@ WHITE_SPACE = (
 NUMBER_PATTERN = r"-?\d+(?:\.\d+)?"
 
 # --- fixed values: run defaults ----------------------------------------------
-DEFAULT_MAX_ROWS = 1000
-DEFAULT_BUDGET = 1000
-DEFAULT_TEXT_CAP = 500
+# A run takes all there is unless its caller sets limits.
+DEFAULT_MAX_ROWS = None
+DEFAULT_BUDGET = None
+DEFAULT_TEXT_CAP = None
 DEFAULT_ROWS_PER_FILE = 5000
 DEFAULT_COMPRESSION = "zstd"

@@ -26,11 +26,17 @@ def variant_kind(value: Column) -> Column:
 
 
 def string_list(record: Column, path: str) -> Column:
-    """A list of strings from a list, a bare string or nothing; empty items dropped."""
-    items = F.filter(
-        F.try_variant_get(record, path, "array<string>"),
-        lambda item: item.isNotNull() & (item != ""),
-    )
+    """A list of strings from a list, a bare string or nothing; items that are empty, false,
+    zero or null are dropped."""
+
+    def item_text(item: Column) -> Column:
+        text, kind = F.try_variant_get(item, "$", "string"), variant_kind(item)
+        unset = (text == "") | ((kind == "BOOLEAN") & (text == "false"))
+        unset = unset | (kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)") & (text.try_cast("double") == 0))
+        return F.when(~unset, text)
+
+    listed = F.transform(F.try_variant_get(record, path, "array<variant>"), item_text)
+    items = F.filter(listed, lambda item: item.isNotNull())
     bare = variant_text(record, path)
     is_bare = variant_kind(F.try_variant_get(record, path, "variant")) == "STRING"
     return F.coalesce(
@@ -62,6 +68,15 @@ def first_number(value: Column) -> Column:
     return F.nullif(found, F.lit("")).try_cast("double")
 
 
+def number_of(record: Column, path: str) -> Column:
+    """A number as it is, or the first number of a text."""
+    kind = variant_kind(F.try_variant_get(record, path, "variant"))
+    number = F.try_variant_get(record, path, "double")
+    return F.when(kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), number).otherwise(
+        first_number(variant_text(record, path))
+    )
+
+
 def issued_timestamp(value: Column) -> Column:
     """A calendar date or an ISO timestamp as an instant; one without offset is UTC.
 

@@ -51,7 +51,8 @@ def latest_shards(spark: SparkSession, base: str, provider: str | None = None) -
     )
     found = several.limit(session.BROADCAST_ROWS + 1).count()
     if found > session.BROADCAST_ROWS:
-        return latest_wins(shards, ["book_uid"], RECENCY)
+        ranked = latest_wins(shards.select("*", place), ["book_uid"], (*RECENCY, "at_row"))
+        return ranked.select(*shards.columns)
     marked = shards.select(*shards.columns, place).join(F.broadcast(several), "book_uid", "left")
     newest = F.col("newest").isNull() | rank.eqNullSafe(F.col("newest"))
     return marked.where(newest).select(*shards.columns)

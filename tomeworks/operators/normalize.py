@@ -10,7 +10,6 @@ from .. import fixed
 from ..functions import (
     author_list,
     first_chars,
-    first_number,
     first_plain_text_url,
     issued_timestamp,
     join_tags,
@@ -19,7 +18,7 @@ from ..functions import (
     string_list,
     strip_space,
 )
-from ..functions.parsing import variant_kind, variant_text
+from ..functions.parsing import number_of, variant_kind, variant_text
 from ..schema import RECORD
 
 
@@ -35,6 +34,7 @@ def _flag_text(record: Column, path: str) -> Column:
     return (
         F.when(kind == "STRING", F.nullif(text, F.lit("")))
         .when(kind == "BOOLEAN", F.when(text == "true", F.lit("True")))
+        .when(text.isin("[]", "{}"), F.lit(None))
         .otherwise(F.when(F.coalesce(text.try_cast("double"), F.lit(1.0)) != 0, text))
     )
 
@@ -44,6 +44,15 @@ def _text_or_absent(record: Column, path: str) -> Column:
     return F.coalesce(kind, F.lit("VOID")).isin("STRING", "VOID")
 
 
+def _whole_or_absent(record: Column, path: str) -> Column:
+    """A whole number, a text that is one, or nothing."""
+    kind = variant_kind(F.try_variant_get(record, path, "variant"))
+    value = F.try_variant_get(record, path, "double")
+    text = F.when(kind == "STRING", variant_text(record, path).try_cast("bigint"))
+    whole = F.coalesce(value == F.floor(value), F.lit(False)) & kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    return F.coalesce(kind, F.lit("VOID")).isin("VOID") | whole | text.isNotNull()
+
+
 def _authors_sound(record: Column) -> Column:
     """Every author is a bare name or an object whose name, if given, is a string."""
 
@@ -110,7 +119,7 @@ def normalize_listing(
         "text_source": F.when(F.col("summary") != "", F.lit("summary")).otherwise(F.lit("none")),
         "text_char_count": F.length(first_chars(F.col("summary"), chars)),
         "download_count": F.try_variant_get(v, "$.download_count", "bigint"),
-        "reading_ease_score": first_number(variant_text(v, "$.reading_ease_score")),
+        "reading_ease_score": number_of(v, "$.reading_ease_score"),
         "issued_at": issued_timestamp(variant_text(v, "$.issued")),
         "withdrawn_reason": _flag_text(v, "$.removed_from_catalog"),
         "ingested_at": run_ts,
@@ -121,7 +130,7 @@ def normalize_listing(
     sound = F.coalesce(sid, F.lit("")) != ""
     for path in texts:
         sound = sound & _text_or_absent(v, path)
-    sound = sound & _authors_sound(v)
+    sound = sound & _authors_sound(v) & _whole_or_absent(v, "$.download_count")
     shaped = staged.select(
         *carried,
         "raw",

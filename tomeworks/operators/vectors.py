@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-# Query vectors are the request and travel to every task.
-MAX_QUERIES = 4096
+# Query vectors are the request and travel to every task; more are taken in blocks.
+BLOCK_QUERIES = 4096
 
 
 def nearest(
@@ -22,14 +24,21 @@ def nearest(
 ) -> DataFrame:
     """The ``k`` vectors with the highest cosine to each query: (query, id, place).
 
-    ``queries`` has (query_column, vector_column) and at most MAX_QUERIES rows.  Each task
-    scores its batches with one matrix product and keeps its own k best, so what is
+    ``queries`` has (query_column, vector_column) and is taken in blocks of BLOCK_QUERIES
+    rows, each of which scans the vectors once.  A null or zero query has no nearest vector
+    and is refused, as are vectors of another length than the queries.  Each task scores
+    its batches with one matrix product and keeps its own k best, so what is
     shuffled is tasks × queries × k small rows, never the vectors or all pairs.  Equal
     scores are ordered by id.
     """
-    asked = queries.select(query_column, vector_column).limit(MAX_QUERIES + 1).collect()
-    if len(asked) > MAX_QUERIES:
-        raise ValueError(f"at most {MAX_QUERIES} query vectors in one call")
+    rows = queries.select(query_column, vector_column).toLocalIterator()
+    blocks = iter(lambda: list(islice(rows, BLOCK_QUERIES)), [])
+    found = [_nearest(vectors, queries, b, k, id_column, vector_column, query_column) for b in blocks]
+    found = found or [_nearest(vectors, queries, [], k, id_column, vector_column, query_column)]
+    return reduce(DataFrame.union, found)
+
+
+def _nearest(vectors, queries, asked, k, id_column, vector_column, query_column) -> DataFrame:
     names = [row[0] for row in asked]
     id_type = vectors.schema[id_column].dataType.simpleString()
     query_type = queries.schema[query_column].dataType.simpleString()
@@ -37,8 +46,13 @@ def nearest(
         return vectors.sparkSession.createDataFrame(
             [], f"{query_column} {query_type}, {id_column} {id_type}, place int"
         )
+    if any(row[1] is None for row in asked) or len({len(row[1]) for row in asked}) > 1:
+        raise ValueError("query vectors must be of one length and not null")
     wanted = np.asarray([row[1] for row in asked], dtype=np.float64)
-    wanted /= np.linalg.norm(wanted, axis=1, keepdims=True)
+    length = np.linalg.norm(wanted, axis=1, keepdims=True)
+    if not (length > 0).all():
+        raise ValueError("a query vector is zero or not a number")
+    wanted /= length
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = scores = None
@@ -71,7 +85,9 @@ def nearest(
                 names=["asked", id_column, "score"],
             )
 
-    usable = vectors.select(id_column, vector_column).where(F.size(vector_column) == wanted.shape[1])
+    other = F.raise_error(F.lit(f"a vector is not of the queries' length {wanted.shape[1]}"))
+    fits = F.when(F.size(vector_column) == wanted.shape[1], True).otherwise(other.cast("boolean"))
+    usable = vectors.select(id_column, vector_column).where(F.col(vector_column).isNotNull()).where(fits)
     scored = usable.mapInArrow(best, f"asked int, {id_column} {id_type}, score double")
     ranked = scored.withColumn(
         "place",

@@ -18,15 +18,22 @@ def normal_form(text: Column) -> Column:
     return F.lower(F.btrim(single))
 
 
-def work_key(oclc: Column, title: Column, author: Column) -> Column:
-    """The shared catalog number where there is one, else a hash of title and author."""
-    named = F.md5(F.concat_ws("\x1f", normal_form(title), normal_form(author)))
-    return F.coalesce(F.nullif(oclc, F.lit("")), named)
-
-
-def with_work_key(volumes: DataFrame) -> DataFrame:
+def work_key(oclc: Column, title: Column, author: Column, own: Column | None = None) -> Column:
+    """The shared catalog number where there is one (the least of a list of them), else a
+    hash of title and author.  A row without any of them has the key ``own``."""
+    numbers = F.filter(F.transform(F.split(oclc, ","), F.btrim), lambda n: n != "")
+    title, author = normal_form(title), normal_form(author)
+    named = F.md5(F.concat_ws("\x1f", title, author))
+    if own is not None:
+        named = F.when((title == "") & (author == ""), own).otherwise(named)
+    return F.coalesce(F.array_min(numbers), named)
+
+
+def with_work_key(volumes: DataFrame, id_column: str = "htid") -> DataFrame:
+    """``volumes`` with their keys; a volume that nothing describes is a work of its own."""
+    own = F.concat(F.lit("volume:"), F.col(id_column).cast("string"))
     return volumes.withColumn(
-        "work_key", work_key(F.col("oclc_num"), F.col("title"), F.col("author"))
+        "work_key", work_key(F.col("oclc_num"), F.col("title"), F.col("author"), own)
     )
 
 

@@ -29,12 +29,13 @@ from ..operators.profile import status_counts
 from ..schema import STORED, conform
 from ..session import broadcast_if_small, drop_stages, stage, staged_so_far
 from ..sources import explode_pages, read_shards
-from ..sources.listing import first_gap, page_ends
+from ..sources.listing import first_gap, newest_pages, page_ends
 from . import providers as registry
 from .runlog import RunReport, reserve, resume_page, write_report
 
-# A row's place in its run: page and position in one number.
-_POSITIONS = 1 << 24
+# A row's place in its run: page and position in one number.  A position is an int, so no
+# two places meet.
+_POSITIONS = 1 << 32
 _ID = ("provider", "source_id")
 _TEXT = ("searchable_text", "text_source", "text_char_count")
 # Previews are up to PREVIEW_CHARS long; this many still make a small broadcast.
@@ -94,7 +95,8 @@ def ingest(
     texts: DataFrame | None = None,
 ) -> RunReport:
     """Take the given pages, all of them from page 1 on, as one run.  For streams, whose
-    source keeps its own checkpoint, and for pages that come as a table."""
+    source keeps its own checkpoint, and for pages that come as a table, in which a page may
+    have been fetched by several runs."""
     source = registry.provider(provider)
     mark = staged_so_far()
     try:
@@ -102,6 +104,8 @@ def ingest(
             spark, base, f"{run_id}/{provider}", run_ts
         )
         report = RunReport(run_id, seq, provider, options.mode, ts)
+        # One payload for each page: the newest fetch of it, however often that was delivered.
+        pages = newest_pages(pages).dropDuplicates(["provider", "page"])
         return _take(spark, base, source, pages, texts, options, report, start=None)
     finally:
         drop_stages(spark, mark)
@@ -118,7 +122,7 @@ def _run_provider(spark, base, landing, source, options, run_id, run_ts) -> RunR
         report.last_page = (
             0 if options.mode == "full" else resume_page(spark, base, source.name, seq)
         )
-        # Resume on the last page, not behind it: that page is the one that still grows.
+        # New records join the page the last run ended on, so it is taken again.
         start = max(1, report.last_page)
         stop = None if options.budget is None else start + options.budget - 1
         pages = source.read(spark, landing, start, stop) if "metadata" in options.stages else None
@@ -145,7 +149,7 @@ def _take(spark, base, source, pages, texts, options, report, start) -> RunRepor
         fresh, gained = _enrich(fresh, stored, texts, options, report)
 
     if options.dry_run:
-        report.stopped_reason += " (dry run: nothing written)"
+        report.stopped_reason += "; nothing stored, as asked"
         return report
 
     parts = []
@@ -177,7 +181,7 @@ def _collect(listed, stored, options, report, start) -> DataFrame | None:
     reader_driven = start is not None
     horizon = ends["end_page"] if reader_driven else ends["last_landed"]
     if reader_driven:
-        # A page that is still to land must not be passed: the checkpoint would skip it.
+        # The checkpoint only moves over pages that are there.
         missing = None
         if ends["first_landed"] > start:
             missing = start
@@ -185,11 +189,11 @@ def _collect(listed, stored, options, report, start) -> DataFrame | None:
             missing = first_gap(listed)
         if missing is not None and missing <= horizon:
             horizon = missing - 1
-            report.stopped_reason = f"page {missing} has not landed"
+            report.stopped_reason = f"awaiting page {missing}"
     if reader_driven and options.budget is not None:
         allowed = start + options.budget - 1
         if horizon >= allowed:
-            report.stopped_reason = f"run budget spent ({options.budget} pages)"
+            report.stopped_reason = f"page limit {options.budget}"
         horizon = min(horizon, allowed)
 
     incoming = listed.where(F.col("sound") & (F.col("page") <= horizon)).select(
@@ -214,7 +218,7 @@ def _collect(listed, stored, options, report, start) -> DataFrame | None:
         ).first()
         if cut is not None and cut["cut_page"] <= horizon:
             upto = cut["cut_page"]
-            report.stopped_reason = f"reached max_rows={options.max_rows}"
+            report.stopped_reason = f"row limit {options.max_rows} on page {upto}"
     within = decided.where(F.col("page") <= upto)
     for name, n in status_counts(within).first().asDict().items():
         setattr(report, name, n)
@@ -290,7 +294,7 @@ def _enrich(fresh, stored, texts, options, report) -> tuple[DataFrame | None, Da
     if k is not None and wanting > k:
         by_cap = options.text_cap is not None and k == options.text_cap
         report.stopped_reason = (
-            f"text budget spent ({k})" if by_cap else "run budget spent during text stage"
+            f"text limit {k}" if by_cap else f"page limit {options.budget} left {k} texts"
         )
     report.text_pending = wanting
     if wanting == 0 or k == 0:

@@ -37,13 +37,10 @@ class RunReport:
     quarantined: int = 0
     stopped_reason: str = "completed"
 
-    def summary(self) -> str:
-        return (
-            f"[{self.provider}] {self.stopped_reason}: {self.new_records} new, "
-            f"{self.changed_records} changed, {self.unchanged_records} unchanged; "
-            f"text {self.text_fetched} fetched, {self.text_pending} pending; "
-            f"{self.rows_written} rows from {self.pages_read} page(s)"
-        )
+    def as_row(self, spark: SparkSession) -> DataFrame:
+        """The report as the one row that the run log keeps of it."""
+        values = asdict(self)
+        return spark.createDataFrame([tuple(values[f.name] for f in RUN_LOG.fields)], RUN_LOG)
 
 
 def reserve(spark: SparkSession, base: str, run_id: str, run_ts: datetime) -> tuple[int, datetime]:
@@ -79,10 +76,8 @@ def resume_page(spark: SparkSession, base: str, provider: str, before: int) -> i
 
 
 def write_report(spark: SparkSession, base: str, report: RunReport) -> None:
-    values = asdict(report)
-    row = [tuple(values[f.name] for f in RUN_LOG.fields)]
     (
-        spark.createDataFrame(row, RUN_LOG)
+        report.as_row(spark)
         .coalesce(1)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

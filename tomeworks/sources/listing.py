@@ -2,7 +2,8 @@
 
 A page is one JSON document ``{"next": …, "results": [ … ]}``.  Pages arrive either as
 files ``provider=P/page-000001.run-17.json`` (a page fetched again lands under a new
-run, never under an old name) or as rows ``(provider, page, run, payload)`` of a table,
+run, never under an old name; without a run in its name a page is of run 0, and any other
+name fails the read) or as rows ``(provider, page, run, payload)`` of a table,
 which is the better layout once there are millions of pages.
 """
 
@@ -22,15 +23,17 @@ PAGES = T.StructType(
     ]
 )
 _FILE = T.StructType([T.StructField("value", T.StringType())])
-_NAME = r"page-(\d+)\.run-(\d+)\.json$"
+_NAME = r"^page-(\d+)(?:\.run-(\d+))?\.json$"
 
 
 def _page() -> Column:
-    return F.regexp_extract("_metadata.file_name", _NAME, 1).try_cast("long")
+    page = F.regexp_extract("_metadata.file_name", _NAME, 1).try_cast("long")
+    unknown = F.concat(F.lit("not the name of a page: "), F.col("_metadata.file_name"))
+    return F.coalesce(page, F.raise_error(unknown).cast("long"))
 
 
 def _run() -> Column:
-    return F.regexp_extract("_metadata.file_name", _NAME, 2).try_cast("long")
+    return F.coalesce(F.regexp_extract("_metadata.file_name", _NAME, 2).try_cast("long"), F.lit(0))
 
 
 def _provider() -> Column:
@@ -96,14 +99,20 @@ def newest_pages(pages: DataFrame, names: DataFrame | None = None) -> DataFrame:
 
 def explode_pages(pages: DataFrame, keep_empty: bool = False) -> DataFrame:
     """One row per listed record: (provider, page, has_next, pos, raw), ``raw`` being its
-    JSON text.  With ``keep_empty`` a page without records leaves one row without pos."""
-    doc = F.from_json("payload", "next string, results array<string>")
+    JSON text.  With ``keep_empty`` a page without records leaves one row without pos.
+
+    A page whose JSON is broken is one malformed record, its payload, and has a successor:
+    it goes to quarantine and does not end the listing."""
+    fields = "next string, results array<string>, broken string"
+    doc = F.from_json("payload", fields, {"columnNameOfCorruptRecord": "broken"})
     explode = F.posexplode_outer if keep_empty else F.posexplode
+    broken = F.col("doc").isNull() | F.col("doc.broken").isNotNull()
+    ends = F.coalesce(F.col("doc.next"), F.lit("")).isin("", "false", "0")
     return pages.withColumn("doc", doc).select(
         "provider",
         "page",
-        (F.coalesce(F.col("doc.next"), F.lit("")) != "").alias("has_next"),
-        explode("doc.results").alias("pos", "raw"),
+        (broken | ~ends).alias("has_next"),
+        explode(F.when(broken, F.array("payload")).otherwise(F.col("doc.results"))).alias("pos", "raw"),
     )
 
 

@@ -57,10 +57,15 @@ def read_volumes_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_file_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(INDEX).option("multiLine", True).json(path)
+    """The entries of an index file with their ``position`` in it."""
+    index = spark.read.schema(INDEX).option("multiLine", True).json(path)
+    return index.withColumn("position", F.monotonically_increasing_id())
 
 
-def newest_file(index: DataFrame, full: bool, tie: str = "filename") -> DataFrame:
-    """The newest monthly (``full``) or daily file of the index: one row or none."""
+def newest_file(index: DataFrame, full: bool, tie: str | None = None) -> DataFrame:
+    """The newest monthly (``full``) or daily file of the index: one row or none.  Of files
+    of one time the first entry counts, or the smallest file name where entries have no
+    ``position``."""
+    tie = tie or ("position" if "position" in index.columns else "filename")
     matching = index.where(F.coalesce(F.col("full"), F.lit(False)) == F.lit(full))
     return matching.orderBy(F.desc("created"), F.asc(tie)).limit(1)

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import fixed
 from ..plans.job import RunOptions, ingest
-from ..sources import newest_pages, read_listing_stream, read_texts
+from ..sources import read_listing_stream, read_texts
 
 
 def ingest_stream(
@@ -29,8 +29,8 @@ def ingest_stream(
     has no page order, so the row cap does not apply; ``max_files`` bounds a batch.
     """
     pages = read_listing_stream(spark, f"{landing}/listing/provider={provider}", max_files)
-    # RunOptions is frozen; a stream takes whole batches.
-    uncapped = RunOptions(**{**options.__dict__, "max_rows": None, "budget": None})
+    if options.max_rows is not None or options.budget is not None:
+        raise ValueError("a stream takes whole batches: max_files bounds them, not max_rows or budget")
 
     def take(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -38,9 +38,9 @@ def ingest_stream(
         ingest(
             session,
             base,
-            newest_pages(batch),
+            batch,
             provider,
-            uncapped,
+            options,
             run_id=f"{query_id(session, checkpoint)}/{batch_id}",
             run_ts=datetime.now(timezone.utc),
             texts=texts if with_texts else None,

@@ -26,11 +26,14 @@ _DATE = r"(\d{8})"
 def snapshot_stream(spark: SparkSession, landing: str, base: str, checkpoint: str) -> StreamingQuery:
     """Append the daily files that have landed, each into the partition of its date.
 
+    A file without eight digits in its name fails the batch: it could never be read again.
     Only the partitions of the files in a batch are replaced, each by the same rows, so
     a batch may run again.
     """
+    dated = F.nullif(F.regexp_extract("file", _DATE, 1), F.lit(""))
+    undated = F.raise_error(F.concat(F.lit("no date in the name of delta file "), F.col("file")))
     volumes = read_volumes_stream(spark, landing).withColumn(
-        "file_date", F.regexp_extract("file", _DATE, 1)
+        "file_date", F.coalesce(dated, undated.cast("string"))
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
