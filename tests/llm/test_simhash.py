@@ -147,3 +147,13 @@ def test_one_row_of_each_group_stays(odd, table):
         (0, "a row w"), (1, "The qui"), (2, "another"), (3, ""), (6, "12345 6"), (7, "word wo"), (8, "xxxxxxx"), (9, "Ünïcödé"),
     ]
     assert simhash.drop_near_duplicates(table([])).collect() == []
+
+
+def test_pairs_below_the_similarity_are_not_linked(table):
+    rnd = random.Random(21)
+    rows = []
+    for _ in range(60):  # 7 of 9 shingles are shared
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(12)]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join([*words[:-1], "other"]))]
+    roots = {r.root for r in simhash.similar_groups(table(rows), exact=True).collect()}
+    assert len(roots) == len(rows)

@@ -38,6 +38,8 @@ WORDS = 8
 TABLES, TABLE_BITS = 2 * WORDS, 4
 # Differing bits of two blocks of a table at most.
 TABLE_BUDGET = 2
+# How far below the similarity an estimate may be for a pair to be compared (over four deviations).
+MARGIN = 0.15
 # Shingles whose votes are added up in one byte lane.
 _LANE = 255
 
@@ -242,19 +244,25 @@ def _flips(bits: int, budget: int) -> list[int]:
     return [sum(1 << i for i in c) for n in range(budget + 1) for c in combinations(range(bits), n)]
 
 
-def wide_fingerprint(words: list[bytes], shingle: int) -> np.ndarray:
-    """WORDS signed longs of majority bits over the distinct shingles, then their number."""
+def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """The distinct shingles' XXH64 hashes (seed 42), sorted; a shorter text is one shingle."""
     import xxhash
 
-    out = np.zeros(WORDS + 1, np.int64)
     if not words:
-        return out
+        return np.zeros(0, np.uint64)
     line = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = np.r_[0, ends[: max(0, len(words) - shingle)]].tolist()
     stops = (ends[min(shingle, len(words)) - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    h = np.unique(np.array([digest(line[a:b], 42) for a, b in zip(starts, stops)], np.uint64))
+    return np.unique(np.array([digest(line[a:b], 42) for a, b in zip(starts, stops)], np.uint64))
+
+
+def wide_fingerprint(h: np.ndarray) -> np.ndarray:
+    """WORDS signed longs of majority bits over the distinct shingles, then their number."""
+    out = np.zeros(WORDS + 1, np.int64)
+    if not len(h):
+        return out
     votes = np.zeros(64 * WORDS, np.int64)
     lanes = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
     for lo in range(0, len(h), 16 * _LANE):
@@ -268,47 +276,79 @@ def wide_fingerprint(words: list[bytes], shingle: int) -> np.ndarray:
 
 
 def wide_fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text_key, w`` for every row."""
+    """``doc_id, text_key, w, cid`` for every row; ``cid`` is a hash of the set of shingles."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
         for batch in batches:
+            prints, names = [], []
+            for text in batch["text"]:
+                h = shingle_hashes(words_of(text), shingle)
+                prints.append(wide_fingerprint(h))
+                names.append(xxhash.xxh3_64_intdigest(h.tobytes()))
             out = batch[["doc_id", "text_key"]].astype({"doc_id": "Int64"})
-            yield out.assign(w=[wide_fingerprint(words_of(t), shingle) for t in batch["text"]])
+            yield out.assign(w=prints, cid=np.array(names, np.uint64).view(np.int64))
 
-    return keyed(docs, id_col, text_col).mapInPandas(run, "doc_id long, text_key long, w array<bigint>")
+    return keyed(docs, id_col, text_col).mapInPandas(run, "doc_id long, text_key long, w array<bigint>, cid long")
 
 
-def _alike(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """The pairs of classes ``a, b`` whose estimated Jaccard similarity is ``similarity`` or more.
+def _shingle_sets(docs: DataFrame, places: DataFrame, shingle: int) -> DataFrame:
+    """``cid, h``: the shingles of the classes whose texts are at ``places``; only those texts are read."""
+    here = docs.alias("d").join(places.alias("p"), F.expr("d.doc_id <=> p.doc_id and d.text_key = p.text_key"))
 
-    The share of differing bits gives the angle, its cosine and the numbers of shingles the
-    size of the intersection."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            h = [shingle_hashes(words_of(t), shingle).view(np.int64) for t in batch["text"]]
+            yield pd.DataFrame({"cid": batch["cid"], "h": h})
+
+    return here.select("cid", "text").mapInPandas(run, "cid long, h array<bigint>").dropDuplicates(["cid"])
+
+
+def _alike(
+    pairs: DataFrame, classes: DataFrame, similarity: float, docs: DataFrame, shingle: int, exact: bool
+) -> DataFrame:
+    """The pairs of classes ``a, b`` whose Jaccard similarity is ``similarity`` or more.
+
+    The share of differing bits gives the angle, its cosine and the numbers of shingles the size
+    of the intersection.  If ``exact``, this estimate only leaves out the pairs that are far
+    below, and the shingles themselves decide on the others."""
     wa = classes.select(F.col("cid").alias("a"), F.col("w").alias("wa"))
     wb = classes.select(F.col("cid").alias("b"), F.col("w").alias("wb"))
     differing = sum((F.bit_count(F.col("wa")[i].bitwiseXOR(F.col("wb")[i])) for i in range(WORDS)), F.lit(0))
     na, nb = F.col("wa")[WORDS], F.col("wb")[WORDS]
     shared = F.least(F.cos(differing * (np.pi / (64 * WORDS))) * F.sqrt(na.cast("double") * nb), na, nb)
-    both = pairs.join(wa, "a").join(wb, "b")
-    return both.filter((na > 0) & (nb > 0) & (shared >= similarity * (na + nb - shared))).select(*pairs.columns)
+    low = max(0.0, similarity - MARGIN) if exact else similarity
+    both = pairs.join(wa, "a").join(wb, "b").filter((na > 0) & (nb > 0) & (shared >= low * (na + nb - shared)))
+    if not exact:
+        return both.select(*pairs.columns)
+    likely = stage(both.select(*pairs.columns), "simhash")
+    ids = likely.select(F.col("a").alias("cid")).union(likely.select(F.col("b").alias("cid"))).distinct()
+    sets = stage(_shingle_sets(docs, stage(classes.join(ids, "cid").select("cid", "doc_id", "text_key"), "simhash"), shingle), "simhash")
+    both = likely.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b")
+    common = F.size(F.array_intersect("ha", "hb"))
+    return both.filter(common >= similarity * (F.size("ha") + F.size("hb") - common) - 1e-9).select(*pairs.columns)
 
 
 def similar_groups(
-    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
+    exact: bool = False,
 ) -> DataFrame:
     """``doc_id, text_key, root`` for every row; rows of one ``root`` are near duplicates.
 
     Every text has a SimHash of 64 * WORDS bits.  Each of its TABLES blocks of 32 bits is a
-    fingerprint of a trie; blocks within TABLE_BUDGET bits make a candidate, and the whole
-    SimHash decides.  Texts at a Jaccard similarity of 0.9 meet in some table in 99.9 % of
-    cases, at 0.8 in 87 % (computed, for independent bits); the estimate has a standard
-    deviation of about 0.035 at 0.8.  Texts with equal SimHash and number of shingles are one
-    class.  In the first round the classes of an equal block are compared with the least of
+    fingerprint of a trie; blocks within TABLE_BUDGET bits make a candidate.  If
+    ``exact``, the Jaccard similarity of the distinct shingles decides, else its estimate.  Texts at a similarity of 0.9
+    meet in some table in 99.9 % of cases, at 0.8 in 87 % (computed, for independent bits).
+    Texts with equal sets of shingles are one class.  Links are closed transitively.  In the first round the classes of an equal block are compared with the least of
     them; in the second one class of each group found so far speaks for it in each block, so
     a large group of near copies is never spelled out in pairs.
     """
     label = "simhash"
-    prints = stage(wide_fingerprints(docs, shingle, id_col, text_col), label)
-    classes = stage(prints.select("w").distinct().withColumn("cid", F.monotonically_increasing_id()), label)
+    docs = keyed(docs, id_col, text_col)
+    prints = stage(wide_fingerprints(docs, shingle), label)
+    place = F.min(F.struct("doc_id", "text_key")).alias("p")
+    classes = stage(prints.groupBy("cid").agg(F.first("w").alias("w"), place).select("cid", "w", "p.doc_id", "p.text_key"), label)
     blocks = [
         F.shiftrightunsigned(F.col("w")[t // 2], 32 * (t % 2)).bitwiseAND(F.lit(0xFFFFFFFF))
         for t in range(TABLES)
@@ -322,7 +362,7 @@ def similar_groups(
 
     star = rows.join(several.select("fp", F.col("lead").alias("a")), "fp").filter("cid != a")
     star = stage(star.select("a", F.col("cid").alias("b")).distinct(), label)
-    near = stage(components(_alike(star, classes, similarity), label), label)
+    near = stage(components(_alike(star, classes, similarity, docs, shingle, exact), label), label)
 
     pairs = neighbours(lead.select("fp"), TABLE_BUDGET, TABLE_BITS, label)
     pairs = stage(pairs.union(several.select(F.col("fp").alias("a"), F.col("fp").alias("b"))).toDF("fa", "fb"), label)
@@ -338,14 +378,14 @@ def similar_groups(
     ]
     apart = pairs.join(ends[0], "fa").join(ends[1], "fb").filter("ra != rb").filter("fa != fb or ra < rb")
     apart = stage(apart.select("a", "b", "ra", "rb").distinct(), label)
-    links = _alike(apart, classes, similarity).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    links = _alike(apart, classes, similarity, docs, shingle, exact).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     far = stage(components(links, label), label).select(F.col("node").alias("first"), F.col("root").alias("last"))
 
     named = classes.join(near.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "w", F.coalesce("root", "cid").alias("first")
+        "cid", F.coalesce("root", "cid").alias("first")
     )
-    named = stage(named.join(far, "first", "left").select("w", F.coalesce("last", "first").alias("root")), label)
-    return prints.join(named, "w").select("doc_id", "text_key", "root")
+    named = stage(named.join(far, "first", "left").select("cid", F.coalesce("last", "first").alias("root")), label)
+    return prints.join(named, "cid").select("doc_id", "text_key", "root")
 
 
 def drop_near_duplicates(
@@ -353,7 +393,7 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """``docs`` with one row of each group of ``similar_groups``: the least id (null last), then
     the least hash of the text.  Null and empty texts are one group."""
-    found = stage(similar_groups(docs, shingle, similarity, id_col, text_col), "simhash")
+    found = stage(similar_groups(docs, shingle, similarity, id_col, text_col, exact=True), "simhash")
     last = F.lit((1 << 63) - 1)
     own = F.struct(F.coalesce("doc_id", last).alias("i"), F.col("text_key").alias("k"))
     # the root tells groups apart whose least ids are equal or null
