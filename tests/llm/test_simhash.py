@@ -157,3 +157,27 @@ def test_pairs_below_the_similarity_are_not_linked(table):
         rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join([*words[:-1], "other"]))]
     roots = {r.root for r in simhash.similar_groups(table(rows), exact=True).collect()}
     assert len(roots) == len(rows)
+
+
+def test_links_of_any_member_are_found(table):
+    rnd = random.Random(31)
+    rows = []
+    for _ in range(25):  # each text is an edit of the one before, most of them at 0.8 to 0.9
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(rnd.randint(60, 200))]
+        for _ in range(4):
+            rows.append((len(rows), " ".join(words)))
+            for _ in range(len(words) // 60 or 1):
+                words[rnd.randrange(len(words))] = f"w{rnd.randrange(10**6)}"
+    sets = {i: shingles_of(t, 5) for i, t in rows}
+    alike = [
+        (i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    ]
+    want = groups_of(alike, sets)
+    assert any(len(sets[i] & sets[j]) < 0.85 * len(sets[i] | sets[j]) for i, j in alike)
+    for docs in (table(rows), table(rows[::-1]).repartition(7)):
+        groups = {}
+        for r in simhash.similar_groups(docs, exact=True).collect():
+            groups.setdefault(r.root, set()).add(r.doc_id)
+        assert all(len({want[i] for i in g}) == 1 for g in groups.values())
+        root = {i: r for r, g in groups.items() for i in g}
+        assert sum(root[i] == root[j] for i, j in alike) >= 0.98 * len(alike)
