@@ -77,3 +77,12 @@ def test_the_model_needs_a_mounted_folder():
     assert perplexity.mounted("file:///shared/x%20y") == "/shared/x y"
     with pytest.raises(ValueError):
         perplexity.mounted("hdfs://name/shared")
+
+
+def test_the_query_uses_two_words_of_context(spark):
+    from tomeworks.llm.registered import QUERIES
+
+    got = {r.doc_id: r for r in QUERIES["op2_perplexity"](spark, "/root/testdata/sf0.001").collect()}
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    want = by_hand([r.text for r in rows if not got[r.doc_id].held_out], [r.text for r in rows], 3)
+    assert all(abs(got[r.doc_id].score - w[3]) < 1e-6 for r, w in zip(rows, want))

@@ -51,7 +51,7 @@ def op1_topk(spark, sf_dir):
 def op2_perplexity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 5) == 1
-    model = perplexity.fit(docs.filter(~held_out))
+    model = perplexity.fit(docs.filter(~held_out), order=3)
     keep = {"doc_id": F.col("doc_id"), "held_out": held_out, "train_tokens": F.lit(model.tokens).cast("long")}
     return perplexity.score(docs, model, keep)
 
