@@ -45,3 +45,12 @@ def test_odd_rows(spark, odd):
     assert by_id[1].lang_pred == "en"
     nothing = langid.predict(odd, langid.fit(learned.limit(0), FILE)).collect()
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
+
+
+def test_long_pieces_are_in_the_sums():
+    assert max(map(len, langid.vocabulary(FILE))) > 8
+    long = "abcdefghijkl"
+    rows = {p: i for i, p in enumerate([langid.START, long, langid.START + long])}
+    p = np.array([[0.2], [0.3], [0.4]])
+    got = np.exp(langid.score_words([long], langid.Pieces(rows), np.log(p)))
+    assert np.allclose(got[0], 0.2 * 0.3 + 0.4 + 0.2 * langid.RARE ** 12)

@@ -34,8 +34,6 @@ UNKNOWN = "und"
 START = "▁"
 # A run of letters is cut after 32 of them, so that no sum leaves the range of a double.
 _WORDS = re.compile(r"[^\W\d_]{1,32}")
-# Signs of a piece at most; longer pieces of the vocabulary are not used.
-LONGEST = 8
 # Probability of a letter that no piece covers, and the pseudo-count of a piece.
 RARE = 1e-7
 SMOOTH = 0.05
@@ -62,7 +60,7 @@ def vocabulary(model_file: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=model_file)
     pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-    fit = lambda p: len(p) <= LONGEST and p.lower() == p and p.removeprefix(START).isalpha()
+    fit = lambda p: p.lower() == p and p.removeprefix(START).isalpha()
     return sorted({p for p in pieces if p == START or fit(p)})
 
 
@@ -76,6 +74,7 @@ class Pieces:
     def __init__(self, rows: dict[str, int]):
         self.size = len(rows)
         self.by_length = {}
+        self.longest = max(map(len, rows), default=1)
         for n in sorted({len(p) for p in rows}):
             own = [p for p in rows if len(p) == n]
             codes = np.array([[ord(c) for c in p] for p in own], np.uint64)
@@ -96,7 +95,7 @@ class Pieces:
         found = {}
         for begin in range(width):
             h = np.zeros(len(words), np.uint64)
-            for n in range(1, min(LONGEST, width - begin) + 1):
+            for n in range(1, min(self.longest, width - begin) + 1):
                 h = _roll(h, codes[:, begin + n - 1])
                 hashes, own = self.by_length.get(n, (np.zeros(0, np.uint64), np.zeros(0, np.int32)))
                 row = np.full(len(words), self.size, np.int32)
