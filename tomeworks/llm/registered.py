@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, langid, lines, perplexity, pii, simhash, substrings, topk, urls
+from . import (
+    bpe, contamination, langid, lines, perplexity, phrases, pii, resample, simhash, substrings, tokenfile, topk, urls,
+)
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +209,91 @@ def op10_contamination(spark, sf_dir):
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query(
+    r"""
+    WITH p AS (
+      SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM (SELECT coalesce(lang, 'und') AS lang, text FROM documents)),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+    t AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+    f AS (
+      SELECT lang, m, phrase, count(*) AS f FROM (
+        SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda s : array_to_string(w[s : s + m - 1], ' '))) AS phrase
+        FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m)
+      GROUP BY ALL HAVING count(*) >= 30),
+    c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS v FROM f WHERE m > 1),
+    k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+    s AS (
+      SELECT k.lang, k.m, k.phrase, a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score,
+        row_number() OVER (PARTITION BY k.lang, k.phrase ORDER BY (2000000::HUGEINT * a) // (x.f + y.f), k) AS place
+      FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(v[1 : k], ' ')
+        JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(v[k + 1 : k.m], ' ')),
+    i AS (
+      SELECT lang, array_to_string(v[s : s + z - 1], ' ') AS phrase, max(a) AS longer FROM (
+        SELECT *, unnest(range(1, m - z + 2)) AS s FROM (SELECT *, unnest(range(2, m)) AS z FROM c)) GROUP BY 1, 2),
+    o AS (
+      SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, encode(s.phrase)) AS rank
+      FROM s LEFT JOIN i ON i.lang = s.lang AND i.phrase = s.phrase
+      WHERE place = 1 AND NOT coalesce(100 * longer::HUGEINT >= 80 * a::HUGEINT, false))
+    SELECT o.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+    FROM o JOIN t ON t.lang = o.lang WHERE rank <= 2000
+    """
+)
+def op11_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+    WITH u AS (
+      SELECT 'd' AS side, doc_id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+    d AS (
+      SELECT side, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM u),
+    f AS (
+      SELECT side, doc_id, unnest(list_transform(range(1, len(w) - m + 2),
+        lambda s : array_to_string(w[s : s + m - 1], ' '))) AS feature
+      FROM d, (SELECT unnest([1, 2, 3]) AS m) WHERE len(w) >= m),
+    b AS (
+      SELECT list_transform(range(256), lambda c : list_reduce(list_concat([c], list_transform(range(8), lambda z : z)),
+        lambda a, z : CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS crc),
+    x AS (SELECT feature, hex(feature) AS h FROM (SELECT DISTINCT feature FROM f)),
+    k AS (
+      SELECT feature, xor(4294967295, list_reduce(
+        list_concat([4294967295], list_transform(range(len(h) // 2), lambda i : CAST('0x' || h[2 * i + 1 : 2 * i + 2] AS BIGINT))),
+        lambda a, z : xor(a >> 8, crc[1 + (xor(a, z) & 255)]))) % 10000 AS bucket
+      FROM x, b),
+    c AS (
+      SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t
+      FROM f JOIN k USING (feature) GROUP BY bucket),
+    g AS (
+      SELECT bucket, CAST(floor(1000 * ln(((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE)
+        / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain FROM c),
+    v AS (
+      SELECT doc_id, count(*) AS n_features, sum(gain) AS weight
+      FROM f JOIN k USING (feature) JOIN g USING (bucket) WHERE side = 'd' GROUP BY doc_id),
+    z AS (
+      SELECT doc_id, len(w) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features,
+        CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+        CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || sha256('42:' || doc_id)[1 : 8] AS BIGINT) + 0.5::DOUBLE)
+          / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM d LEFT JOIN v USING (doc_id) WHERE side = 'd'),
+    r AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place FROM z)
+    SELECT doc_id, n_features, weight, score,
+      CASE WHEN n_words >= 20 AND place <= 5 * (SELECT count(*) FROM z WHERE n_words >= 20) // 100 THEN place END AS rank
+    FROM r
+    """
+)
+def op12_resample(spark, sf_dir):
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query()
+def op13_tokens(spark, sf_dir):
+    return tokenfile.digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    )
