@@ -32,6 +32,7 @@ def test_files_against_the_library(table, monkeypatch, small):
         monkeypatch.setattr(tokenfile, "FLUSH_CHARS", 500)
         monkeypatch.setattr(tokenfile, "CACHE_WORDS", 20)
         monkeypatch.setattr(tokenfile, "FILES_TOGETHER", 3)
+        monkeypatch.setattr(tokenfile, "READ_TOKENS", 50)
     rows = [r for r in ODD_TEXTS + EXTRA if r[0] != 2] + [(-5, "below zero"), (2**62, "far"), (None, "again without")]
     docs = table(rows)
     nulls = [tuple(r) for r in docs.select("doc_id", "text").collect() if r.doc_id is None]

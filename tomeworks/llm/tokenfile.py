@@ -5,15 +5,15 @@ A file holds three streams of unsigned numbers (the token ids of all its documen
 another, the number of ids of each document, and the steps from one document id to the
 next), each in blocks of ``BLOCK`` numbers, then a footer.  Of a block the minimum is
 subtracted; what is left is packed at the width that covers ``COVERED`` percent of its numbers.
-Numbers that need more bits have their low bits in the pack, and their place and high bits
-in the block's exception list.  The footer holds where each block starts, so any range of a
+Numbers that need more bits have their low bits in the pack, and their place and what is above
+the width in the block's exception list.  The footer holds where each block starts, so any range of a
 stream is read by its blocks alone.
 
 Layout, all little-endian: the magic; blocks; for each stream its length (8 bytes) and the
 starts of its blocks and its end (8 bytes each); the three places of these tables, the first
 document id, the number of documents without an id (8 bytes each), and the magic again.  A block is
-its minimum (8 bytes), width (1), bits of an exception (1), number of exceptions (2), the
-packed numbers, the places of the exceptions (2 bytes each) and their packed high bits.
+its minimum (8 bytes), width (1), bytes of an exception (1), number of exceptions (2), the
+packed numbers, the places of the exceptions (a byte each) and what of them is above the width.
 
 A file is written under another name and moved into place whole, and the table that
 ``write`` returns names the files, so a task may run twice.  ``start`` comes from a running sum
@@ -30,78 +30,105 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .bpe import Splitter
-from .common import expand, flushes, parts_for, stage, text_bytes
+from .common import Numbers, expand, flushes, parts_for, stage, text_bytes
 from ..session import work_path
 
 BLOCK, COVERED = 256, 90
 # Bytes of text for each file, and characters encoded at a time.
-FILE_BYTES, FLUSH_CHARS = 32_000_000, 4_000_000
+FILE_BYTES, FLUSH_CHARS = 64_000_000, 2_000_000
 # Words whose ids a task remembers at most, and files whose starts are added up together.
 CACHE_WORDS, FILES_TOGETHER = 1_000_000, 1000
+# Ids read from a file at a time.
+READ_TOKENS = 1_000_000
 MAGIC = b"PFORTOK1"
 END_ID = 0
-_HEAD = np.dtype([("least", "<u8"), ("width", "u1"), ("high", "u1"), ("n", "<u2")])
+_HEAD = np.dtype([("least", "<u8"), ("width", "u1"), ("over", "u1"), ("n", "<u2")])
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
     """How many bits each number needs."""
-    n = np.zeros(x.shape, np.int64)
-    x = x.copy()
-    for k in (32, 16, 8, 4, 2, 1):
-        more = x >= np.uint64(1) << np.uint64(k)
-        n[more] += k
-        x[more] >>= np.uint64(k)
-    return n + (x > 0)
+    powers = np.uint64(1) << np.arange(64, dtype=np.uint64)
+    top = int(x.max()).bit_length() if x.size else 0
+    return np.searchsorted(powers[:top], x, side="right")
 
 
 def _pack(x: np.ndarray, width: int) -> np.ndarray:
-    """Rows of numbers as rows of bytes, ``width`` bits a number, low bits first."""
-    bits = (x[:, :, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)
-    return np.packbits(bits.astype(np.uint8).reshape(len(x), -1), axis=1, bitorder="little")
+    """Rows of numbers as rows of bytes, ``width`` bits a number, low bits first.
 
-
-def _unpack(packed: np.ndarray, width: int, n: int) -> np.ndarray:
-    bits = np.unpackbits(packed, axis=1, count=n * width, bitorder="little").reshape(len(packed), n, width)
-    out = np.zeros((len(packed), n), np.uint64)
-    for k in range(width):
-        out |= bits[:, :, k].astype(np.uint64) << np.uint64(k)
-    return out
+    Number j of every row goes to the same bits, so each step packs one number of all rows.
+    """
+    n = x.shape[1]
+    out = np.zeros(((n * width + 63) // 64 + 1, len(x)), np.uint64)
+    for j, column in enumerate(np.ascontiguousarray(x.T)):
+        word, bit = divmod(j * width, 64)
+        out[word] |= column << np.uint64(bit)
+        if bit + width > 64:
+            out[word + 1] |= column >> np.uint64(64 - bit)
+    return np.ascontiguousarray(out.T).astype("<u8").view(np.uint8)[:, : (n * width + 7) // 8]
 
 
-def pack_blocks(values: np.ndarray) -> list[bytes]:
-    """The blocks of a stream; the last one may be shorter than BLOCK."""
+def _unpack(packed: np.ndarray, width: int, n: int) -> np.ndarray:
+    words = np.zeros((len(packed), 8 * ((n * width + 63) // 64 + 1)), np.uint8)
+    words[:, : packed.shape[1]] = packed
+    words = np.ascontiguousarray(words.view("<u8").T)
+    out = np.zeros((n, len(packed)), np.uint64)
+    mask = np.uint64((1 << width) - 1)
+    for j in range(n):
+        word, bit = divmod(j * width, 64)
+        out[j] = words[word] >> np.uint64(bit)
+        if bit + width > 64:
+            out[j] |= words[word + 1] << np.uint64(64 - bit)
+        out[j] &= mask
+    return out.T
+
+
+def pack_blocks(values: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The blocks of a stream and the size of each; the last one may be shorter than BLOCK."""
     values = np.asarray(values, np.uint64)
     whole = len(values) // BLOCK * BLOCK
-    out = _pack_rows(values[:whole].reshape(-1, BLOCK)) if whole else []
-    return out + (_pack_rows(values[None, whole:]) if whole < len(values) else [])
+    parts = [values[:whole].reshape(-1, BLOCK), values[None, whole:]]
+    done = [_pack_rows(p) for p in parts if p.size]
+    return b"".join(d[0] for d in done), np.concatenate([np.zeros(0, np.int64), *(d[1] for d in done)])
 
 
-def _pack_rows(rows: np.ndarray) -> list[bytes]:
+def _pack_rows(rows: np.ndarray) -> tuple[bytes, np.ndarray]:
     least = rows.min(axis=1)
     rest = rows - least[:, None]
     need = _bits(rest)
     kth = -(-rows.shape[1] * COVERED // 100) - 1
     width = np.partition(need, kth, axis=1)[:, kth]
-    out: list[bytes] = [b""] * len(rows)
+    row, place = np.nonzero(need > width[:, None])
+    many = np.bincount(row, minlength=len(rows))
+    high = rest[row, place] >> width[row].astype(np.uint64)
+    # bytes of an exception: what the largest one of its block needs
+    over = np.zeros(len(rows), np.int64)
+    np.maximum.at(over, row, (_bits(high) + 7) // 8)
+    heads = np.zeros(len(rows), _HEAD)
+    heads["least"], heads["width"], heads["over"], heads["n"] = least, width, over, many
+    packed = (rows.shape[1] * width + 7) // 8
+    sizes = _HEAD.itemsize + packed + many * (1 + over)
+    starts = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), np.uint8)
+    out[starts[:, None] + np.arange(_HEAD.itemsize)] = heads.view(np.uint8).reshape(len(rows), -1)
+    body = starts + _HEAD.itemsize
     for w in np.unique(width):
         at = np.flatnonzero(width == w)
-        low = rest[at] & ((np.uint64(1) << np.uint64(w)) - np.uint64(1)) if w < 64 else rest[at]
-        packed = _pack(low, int(w))
-        for i, body in zip(at.tolist(), packed):
-            odd = np.flatnonzero(need[i] > w)
-            high = rest[i, odd] >> np.uint64(w) if len(odd) else np.zeros(0, np.uint64)
-            top = int(need[i, odd].max() - w) if len(odd) else 0
-            head = np.array([(least[i], w, top, len(odd))], _HEAD).tobytes()
-            patch = odd.astype("<u2").tobytes() + _pack(high[None], top).tobytes() if len(odd) else b""
-            out[i] = head + body.tobytes() + patch
-    return out
+        low = rest[at] & np.uint64((1 << int(w)) - 1)
+        out[body[at][:, None] + np.arange(int(packed[at[0]]))] = _pack(low, int(w))
+    odd = body + packed
+    out[expand(odd, many)] = place.astype(np.uint8)
+    for k in np.unique(over[over > 0]):
+        own = over[row] == k
+        at = np.flatnonzero(over == k)
+        out[expand((odd + many)[at], many[at] * k)] = high[own].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k].reshape(-1)
+    return out.tobytes(), sizes
 
 
 def unpack_blocks(data: bytes, starts: np.ndarray, total: int) -> np.ndarray:
@@ -117,17 +144,19 @@ def unpack_blocks(data: bytes, starts: np.ndarray, total: int) -> np.ndarray:
     for n in np.unique(sizes):
         for w in np.unique(heads["width"][sizes == n]):
             at = np.flatnonzero((sizes == n) & (heads["width"] == w))
-            many = (int(n) * int(w) + 7) // 8
-            x = _unpack(raw[body[at][:, None] + np.arange(many)], int(w), int(n)) + heads["least"][at][:, None]
+            packed = (int(n) * int(w) + 7) // 8
+            x = _unpack(raw[body[at][:, None] + np.arange(packed)], int(w), int(n)) + heads["least"][at][:, None]
             out[(at[:, None] * BLOCK + np.arange(n)).reshape(-1)] = x.reshape(-1)
-    packed = (sizes * heads["width"].astype(np.int64) + 7) // 8
-    for i in np.flatnonzero(heads["n"]):
-        n, w, top = int(heads["n"][i]), int(heads["width"][i]), int(heads["high"][i])
-        place = body[i] + packed[i]
-        odd = raw[place : place + 2 * n].view("<u2").astype(np.int64)
-        after = place + 2 * n
-        high = _unpack(raw[after : after + (n * top + 7) // 8][None], top, n)[0]
-        out[i * BLOCK + odd] += high << np.uint64(w)
+    width, many, over = (heads[c].astype(np.int64) for c in ("width", "n", "over"))
+    odd = body + (sizes * width + 7) // 8
+    block = np.repeat(np.arange(len(starts)), many)
+    place = raw[expand(odd, many)].astype(np.int64)
+    for k in np.unique(over[over > 0]):
+        at = np.flatnonzero(over == k)
+        high = np.zeros((int(many[at].sum()), 8), np.uint8)
+        high[:, :k] = raw[expand((odd + many)[at], many[at] * k)].reshape(-1, k)
+        own = over[block] == k
+        out[block[own] * BLOCK + place[own]] += high.view("<u8").reshape(-1) << width[block[own]].astype(np.uint64)
     return out
 
 
@@ -135,21 +164,24 @@ class Stream:
     """Blocks of one stream while a file is written."""
 
     def __init__(self):
-        self.held, self.blocks, self.n = [], [], 0
+        self.held, self.parts, self.sizes, self.n = np.zeros(0, np.uint64), [], [], 0
 
     def add(self, values: np.ndarray) -> None:
         self.n += len(values)
-        self.held.append(np.asarray(values, np.uint64))
-        if sum(map(len, self.held)) >= 64 * BLOCK:
-            both = np.concatenate(self.held)
-            whole = len(both) // BLOCK * BLOCK
-            self.blocks += pack_blocks(both[:whole])
-            self.held = [both[whole:]]
+        self.held = np.concatenate([self.held, np.asarray(values, np.uint64)])
+        self._flush(len(self.held) // BLOCK * BLOCK if len(self.held) >= 64 * BLOCK else 0)
+
+    def _flush(self, upto: int) -> None:
+        if upto:
+            body, sizes = pack_blocks(self.held[:upto])
+            self.parts.append(body)
+            self.sizes.append(sizes)
+            self.held = self.held[upto:]
 
-    def close(self) -> list[bytes]:
-        self.blocks += pack_blocks(np.concatenate(self.held)) if self.held else []
-        self.held = []
-        return self.blocks
+    def close(self) -> tuple[list[bytes], np.ndarray]:
+        """The packed blocks and the size of each."""
+        self._flush(len(self.held))
+        return self.parts, np.concatenate([np.zeros(0, np.int64), *self.sizes])
 
 
 def file_bytes(tokens: Stream, sizes: Stream, steps: Stream, first_id: int, n_null: int) -> Iterator[bytes]:
@@ -157,10 +189,10 @@ def file_bytes(tokens: Stream, sizes: Stream, steps: Stream, first_id: int, n_nu
     yield MAGIC
     at, tables = len(MAGIC), []
     for stream in (tokens, sizes, steps):
-        blocks = stream.close()
-        ends = at + np.cumsum([0, *map(len, blocks)])
+        parts, each = stream.close()
+        ends = at + np.cumsum(np.r_[0, each])
         tables.append(np.r_[stream.n, ends].astype("<i8").tobytes())
-        yield from blocks
+        yield from parts
         at = int(ends[-1])
     places = at + np.cumsum([0, *map(len, tables)])[:3]
     yield from tables
@@ -224,33 +256,31 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat: list[np.ndarray] = []
-        self.counts = np.zeros(0, np.int64)
+        self.known = Numbers()
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, END_ID after each, and how many each text has."""
         if len(self.known) > CACHE_WORDS:
             self._forget()
         lists = [self.splitter.words(t) for t in texts]
-        words = list(chain.from_iterable(lists))
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        for lo in range(0, len(new), 20_000):
-            found = self.splitter.encode(new[lo : lo + 20_000])
-            self.counts = np.concatenate([self.counts, np.fromiter(map(len, found), np.int64, len(found))])
-            self.flat.append(np.fromiter(chain.from_iterable(found), np.uint32))
-            for w in new[lo : lo + 20_000]:
-                self.known[w] = len(self.known)
-        flat = np.concatenate(self.flat) if self.flat else np.zeros(0, np.uint32)
-        self.flat = [flat]
-        starts = np.cumsum(self.counts) - self.counts
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        ids = flat[expand(starts[at], self.counts[at])]
-        ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
-        before = np.r_[0, np.cumsum(self.counts[at])]
-        stops = before[ends]
-        sizes = np.diff(np.r_[0, stops])
-        return np.insert(ids, stops, END_ID), sizes + 1
+        n = np.fromiter(map(len, lists), np.int64, len(lists))
+        old = len(self.known)
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(lists)), np.int64, int(n.sum()))
+        self._learn(list(islice(self.known, old, None)))
+        counts = np.diff(self.starts)[at]
+        ids = self.flat[expand(self.starts[at], counts)]
+        stops = np.r_[0, np.cumsum(counts)][np.cumsum(n)]
+        return np.insert(ids, stops, END_ID), np.diff(np.r_[0, stops]) + 1
+
+    def _learn(self, words: list[str]) -> None:
+        flat, counts = [self.flat], []
+        for lo in range(0, len(words), 20_000):
+            found = self.splitter.encode(words[lo : lo + 20_000])
+            counts += map(len, found)
+            flat.append(np.fromiter(chain.from_iterable(found), np.uint32))
+        self.flat = np.concatenate(flat)
+        self.starts = np.r_[self.starts, self.starts[-1] + np.cumsum(np.array(counts, np.int64))]
 
 
 def _open(uri: str):
@@ -335,8 +365,9 @@ def with_starts(files: DataFrame) -> DataFrame:
 
 
 def read(files: DataFrame, result, schema: str) -> DataFrame:
-    """``result(doc_ids, starts, sizes, tokens)`` for each file, a frame of ``schema``; each file is
-    read by one task.  ``starts`` count from the first document of all files."""
+    """``result(doc_ids, starts, sizes, tokens)`` for some documents after another, frames of
+    ``schema``; each file is read by one task, some blocks at a time.  ``starts`` count from the first
+    document of all files."""
 
     def get(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -344,10 +375,17 @@ def read(files: DataFrame, result, schema: str) -> DataFrame:
                 system, path = _open(row.path)
                 with system.open_input_file(path) as source:
                     found = TokenFile(source)
-                    ids, sizes, tokens = found.doc_ids(), found.sizes(), found.tokens()
-                if len(tokens) != row.n_tokens or len(ids) != row.n_docs or int(sizes.sum()) != len(tokens):
-                    raise ValueError(f"{row.path} is not the file that was written")
-                yield result(ids, row.start + np.cumsum(sizes) - sizes, sizes, tokens)
+                    ids, sizes = found.doc_ids(), found.sizes()
+                    if found.n_tokens != row.n_tokens or len(ids) != row.n_docs or int(sizes.sum()) != found.n_tokens:
+                        raise ValueError(f"{row.path} is not the file that was written")
+                    ends = np.cumsum(sizes)
+                    lo = 0
+                    while lo < len(sizes):
+                        start = int(ends[lo] - sizes[lo])
+                        hi = max(lo + 1, int(np.searchsorted(ends, start + READ_TOKENS, side="right")))
+                        tokens = found.tokens(start, int(ends[hi - 1]))
+                        yield result(ids[lo:hi], row.start + ends[lo:hi] - sizes[lo:hi], sizes[lo:hi], tokens)
+                        lo = hi
 
     count = files.count()
     dealt = files.select("file", "path", "n_docs", "n_tokens", "start").repartitionById(max(1, count), F.col("file"))
