@@ -1,17 +1,20 @@
 """Phrase collocations, mined the way Toivonen does it.
 
 A sample of the documents is mined level by level with a lowered threshold; the phrases it
-shows to be frequent are the proposals.  A pass over all documents counts exactly every
-proposal and its negative border: the phrases that are not proposed although the phrase
-without its first word and the phrase without its last word both are (any single word).  If a
-phrase of the border turns out to be frequent, the proposals and the border grow by it, and
-a further pass counts what the growth has brought in.  When a pass shows no such phrase, none
-that is frequent can be uncounted, whatever the sample was; at most one pass for each length.
+shows to be frequent are the proposals.  A pass over all documents counts every proposal and
+its negative border: the phrases that are not proposed although the phrase without its first
+word and the phrase without its last word both are (any single word).  If a phrase of the
+border turns out to be frequent, the proposals and the border grow by it, and a further
+pass counts what the growth has brought in.  When a pass shows no such phrase, none that is frequent
+can be uncounted, whatever the sample was; at most one pass for each length.
+
+These passes count 64-bit hashes of phrases, which tasks sort and add up by shards; two phrases
+of one hash can only be counted too high, so nothing frequent is missed.  A last pass counts the
+phrases that were found under their own text, and these exact counts alone make the result.
 
 Proposals reach the tasks as a bit filter, at most ``FILTER_BYTES`` a pass.  A phrase that
 the filter takes for a proposal by mistake is only one more phrase that is counted; with far more
-proposals than bits the passes count more, and the result stays the same.  Phrases are counted
-under their own text, so no result rests on a hash.
+proposals than bits the passes count more, and the result stays the same.
 
 Defined results: a null or empty text has no words; a null language is ``und``; an empty table
 gives no rows; repeated rows count each time; a text of any length is read in chunks cut
@@ -27,12 +30,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import Numbers, flushes, hashes, mix, stage
+from .common import Numbers, flushes, hashes, mix, parts_for, runs, stage, text_bytes
 
 LONGEST = 4
 # Share of the documents that proposes phrases, and what part of the threshold they need there.
 SAMPLE, LOWERED = 0.125, 0.5
-FLUSH_CHARS = 8_000_000
+FLUSH_CHARS = 4_000_000
+# Bytes of text for each shard of the hash counts.
+SHARD_BYTES = 24_000_000
 # Bits for each proposal, the largest filter, and the part of it that one task builds.
 BITS_EACH, FILTER_BYTES, BLOCK_BYTES = 16, 1 << 25, 1 << 16
 
@@ -43,7 +48,6 @@ CUT = b"\xff"
 NO_LANG = "und"
 
 _TO_CUT = bytes.maketrans(MARKS, CUT * len(MARKS))
-_COUNTS = "lang string, n int, phrase string, c long, proposed boolean"
 
 
 class Filter:
@@ -63,35 +67,22 @@ class Filter:
         return [h & mask, mix(h, np.uint64(1)) & mask]
 
 
-def phrase_hashes(langs: list[str], phrases: list[str]) -> np.ndarray:
-    """The hash of each phrase: its language, then its words one by one."""
-    split = [p.encode().split(b" ") for p in phrases]
-    h = hashes([x.encode() for x in langs])
-    for k in range(LONGEST):
-        at = np.flatnonzero(np.fromiter((len(x) > k for x in split), bool, len(split)))
-        h[at] = mix(h[at], hashes([split[i][k] for i in at]))
-    return h
-
-
-def build_filter(proposals: DataFrame) -> Filter:
-    """The filter of ``proposals(lang, phrase)``; tasks set bits, the driver joins the parts."""
+def build_filter(found: DataFrame) -> Filter:
+    """The filter of the hashes ``found(h)``; tasks set bits, the driver joins the parts."""
     size = 1 << 17
-    need = proposals.count() * BITS_EACH
+    need = found.count() * BITS_EACH
     while size * 8 < need and size < FILTER_BYTES:
         size *= 2
     mask, per_block = np.uint64(size * 8 - 1), BLOCK_BYTES * 8
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            h = phrase_hashes(batch["lang"].tolist(), batch["phrase"].tolist())
+            h = batch["h"].to_numpy(np.int64).view(np.uint64)
             at = np.unique(np.concatenate(Filter.places(h, mask)).astype(np.int64))
             block = at // per_block
-            cuts = np.flatnonzero(np.diff(block)) + 1
-            parts = np.split(at % per_block, cuts) if len(at) else []
-            yield pd.DataFrame({
-                "block": block[np.r_[0, cuts]] if len(at) else np.zeros(0, np.int64),
-                "at": [p.astype(np.uint32).tobytes() for p in parts],
-            })
+            first = runs(block)
+            parts = np.split((at % per_block).astype(np.uint32), first[1:]) if len(at) else []
+            yield pd.DataFrame({"block": block[first], "at": [p.tobytes() for p in parts]})
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
         bits = np.zeros(per_block, np.uint8)
@@ -99,7 +90,7 @@ def build_filter(proposals: DataFrame) -> Filter:
             bits[np.frombuffer(at, np.uint32)] = 1
         return pd.DataFrame({"block": rows["block"].iloc[:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
-    blocks = proposals.select("lang", "phrase").mapInPandas(place, "block long, at binary")
+    blocks = found.select("h").mapInPandas(place, "block long, at binary")
     bits = np.zeros(size, np.uint8)
     for row in blocks.groupBy("block").applyInPandas(fill, "block long, bits binary").toLocalIterator():
         start = row.block * BLOCK_BYTES
@@ -137,79 +128,130 @@ def _member(filters: list[Filter], h: np.ndarray) -> np.ndarray:
     return found
 
 
-def count_chunk(lang: str, words: list[bytes], filters: list[Filter], before: int | None) -> Iterator[pd.DataFrame]:
-    """The phrases of one chunk that a pass counts, with their counts.
+class Level:
+    """The phrases of ``n`` words of one chunk that a pass reaches: hash, count, and the phrase
+    and word that make up each."""
+
+    def __init__(self, n, h, counts, below=None, first=None, last=None, words=None):
+        self.n, self.h, self.counts = n, h, counts
+        self.below, self.first, self.last, self.words = below, first, last, words
+
+    def texts(self, at: np.ndarray) -> np.ndarray:
+        if self.below is None:
+            return self.words[at]
+        return self.below.texts(self.first[at]) + " " + self.words[self.last[at]]
+
+
+def walk(lang: str, words: list[bytes], filters: list[Filter], before: int | None) -> Iterator[tuple[Level, np.ndarray]]:
+    """Levels of one chunk, each with the phrases to count.
 
     A phrase is reached if its first n - 1 words and its last n - 1 words are proposed by ``filters``.
-    With ``before`` those that the first ``before`` filters reached already are left out.
+    With ``before`` those that the first ``before`` filters reached already are not counted again.
     """
     number = Numbers({CUT: 0})
     ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
     known = list(number)
-    shown = np.array([w.decode() if i else "" for i, w in enumerate(known)], object)
+    shown = np.array(["", *[w.decode() for w in known[1:]]], object)
     own = hashes(known)
-    total = int((ids > 0).sum())
-    if not total:
-        return
-    if before is None:
-        yield pd.DataFrame({"lang": [lang], "n": [0], "phrase": [""], "c": [total], "proposed": [True]})
-    # unit 0 stands for no phrase; unit u of this length has the words texts[u]
-    units, texts = ids, shown
-    h = mix(np.full(len(own), hashes([lang.encode()])[0]), own)
-    counts = np.bincount(ids, minlength=len(known))
-    reached_before = np.zeros(len(known), bool) if before is None else np.ones(len(known), bool)
-    for n in range(1, LONGEST + 1):
-        if n > 1:
-            left, right, last = units[:-1], units[1:], ids[n - 1 :]
-            at = np.flatnonzero((left > 0) & (right > 0) & proposed[left] & proposed[right])
-            if not len(at):
-                return
-            key, first, inverse = np.unique(left[at] * len(known) + last[at], return_index=True, return_inverse=True)
-            counts = np.r_[0, np.bincount(inverse, minlength=len(key))]
-            units = np.zeros(len(left), np.int64)
-            units[at] = inverse + 1
-            one, two, end = left[at[first]], right[at[first]], last[at[first]]
-            reached_before = np.r_[False, earlier[one] & earlier[two]]
-            texts = np.concatenate([[""], texts[one] + " " + shown[end]]).astype(object)
-            h = np.r_[np.uint64(0), mix(h[one], own[end])]
-        proposed = _member(filters, h)
-        earlier = _member(filters[:before], h) if before else np.zeros(len(h), bool)
-        new = np.flatnonzero(~reached_before[1:]) + 1
-        if len(new):
-            yield pd.DataFrame({
-                "lang": lang, "n": n, "phrase": texts[new], "c": counts[new], "proposed": proposed[new],
-            })
-
-
-def count_pass(texts: DataFrame, filters: list[Filter], before: int | None) -> DataFrame:
-    """One pass over ``texts(lang, text)``: lang, n, phrase, c, proposed; n is 0 in the row of
-    all words of a language."""
+    # phrase 0 stands for none; units holds the phrase of the present length at each place
+    level = Level(1, mix(np.full(len(own), hashes([lang.encode()])[0]), own), np.bincount(ids, minlength=len(known)), words=shown)
+    units, counted_before = ids, np.full(len(known), before is not None)
+    while True:
+        counted_before[0] = True
+        yield level, np.flatnonzero(~counted_before)
+        if level.n == LONGEST:
+            return
+        proposed = _member(filters, level.h)
+        earlier = _member(filters[:before], level.h) if before else np.zeros(len(level.h), bool)
+        left, right, last = units[:-1], units[1:], ids[level.n :]
+        at = np.flatnonzero((left > 0) & (right > 0) & proposed[left] & proposed[right])
+        if not len(at):
+            return
+        _, first, inverse = np.unique(left[at] * len(known) + last[at], return_index=True, return_inverse=True)
+        units = np.zeros(len(left), np.int64)
+        units[at] = inverse + 1
+        one, two, end = (np.r_[0, x[at[first]]] for x in (left, right, last))
+        counted_before = earlier[one] & earlier[two]
+        level = Level(level.n + 1, mix(level.h[one], own[end]), np.r_[0, np.bincount(inverse)], level, one, end, shown)
+
+
+def _levels(batch: pd.DataFrame, filters: list[Filter], before: int | None) -> Iterator[tuple[str, Level, np.ndarray]]:
+    for lang, rows in batch.groupby("lang"):
+        for words in _chunks(rows["text"].tolist(), FLUSH_CHARS):
+            for level, at in walk(lang, words, filters, before):
+                yield lang, level, at
+
+
+def _by_chars(batch: pd.DataFrame) -> pd.Series:
+    return batch["text"].str.len().astype(int) + 1
+
+
+def hash_pass(texts: DataFrame, filters: list[Filter], before: int | None, least: int, shards: int) -> DataFrame:
+    """``n, h, proposed`` of all hashes that one pass over ``texts(lang, text)`` counts ``least`` times or more."""
     shared = texts.sparkSession.sparkContext.broadcast([f.bits for f in filters])
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mine = [Filter(bits) for bits in shared.value]
-        size = lambda b: b["text"].str.len().astype(int) + 1
-        for batch in flushes(batches, size, FLUSH_CHARS):
-            for lang, rows in batch.groupby("lang"):
-                for words in _chunks(rows["text"].tolist(), FLUSH_CHARS):
-                    yield from count_chunk(lang, words, mine, before)
-
-    counted = texts.mapInPandas(count, _COUNTS)
-    return counted.groupBy("lang", "n", "phrase").agg(F.sum("c").alias("c"), F.max("proposed").alias("proposed"))
-
-
-def mine(texts: DataFrame, least: int, filters: list[Filter]) -> DataFrame:
-    """All phrases of ``texts`` found ``least`` times or more, and the word totals (n = 0)."""
+        for batch in flushes(batches, _by_chars, FLUSH_CHARS):
+            held: dict[int, list] = {}
+            for _, level, at in _levels(batch, mine, before):
+                held.setdefault(level.n, []).append((level.h[at], level.counts[at]))
+            rows = []
+            for n, parts in held.items():
+                h, c = (np.concatenate(x) for x in zip(*parts))
+                shard = ((h >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
+                order = np.lexsort((h, shard))
+                for part in np.split(order, runs(shard[order])[1:]) if len(order) else []:
+                    rows.append((int(shard[part[0]]), n, h[part].tobytes(), c[part].astype(np.uint32).tobytes()))
+            yield pd.DataFrame(rows, columns=["shard", "n", "h", "c"])
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        mine, out = [Filter(bits) for bits in shared.value], []
+        for n, own in rows.groupby("n"):
+            h = np.concatenate([np.frombuffer(x, np.uint64) for x in own["h"]])
+            c = np.concatenate([np.frombuffer(x, np.uint32) for x in own["c"]]).astype(np.int64)
+            order = np.argsort(h, kind="stable")
+            first = runs(h[order])
+            total = np.add.reduceat(c[order], first)
+            often = h[order[first[total >= least]]]
+            out.append(pd.DataFrame({"n": n, "h": often.view(np.int64), "proposed": _member(mine, often)}))
+        return pd.concat(out)
+
+    counted = texts.mapInPandas(count, "shard int, n int, h binary, c binary").repartitionById(shards, F.col("shard"))
+    return counted.groupBy("shard").applyInPandas(add, "n int, h long, proposed boolean")
+
+
+def mine(texts: DataFrame, least: int, filters: list[Filter], shards: int) -> tuple[DataFrame, list[Filter]]:
+    """``n, h`` of all that may be found ``least`` times or more, and the filters that reach them."""
     found, before = None, None
     while True:
-        counted = stage(count_pass(texts, filters, before).filter((F.col("c") >= least) | (F.col("n") == 0)), "phrases")
+        counted = stage(hash_pass(texts, filters, before, least, shards), "phrases")
         found = counted if found is None else found.union(counted)
-        missed = counted.filter(F.col("n").between(1, LONGEST - 1) & ~F.col("proposed"))
+        missed = counted.filter((F.col("n") < LONGEST) & ~F.col("proposed"))
         if missed.isEmpty():
-            return found.drop("proposed")
+            return found.drop("proposed"), filters
         before, filters = len(filters), [*filters, build_filter(missed)]
 
 
+def text_pass(texts: DataFrame, filters: list[Filter], chosen: Filter, least: int) -> DataFrame:
+    """``lang, n, phrase, c`` of the phrases whose hash is ``chosen``, if found ``least`` times or more;
+    n is 0 in the row of all words of a language."""
+    shared = texts.sparkSession.sparkContext.broadcast([chosen.bits, *[f.bits for f in filters]])
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted, *mine = [Filter(bits) for bits in shared.value]
+        for batch in flushes(batches, _by_chars, FLUSH_CHARS):
+            for lang, level, at in _levels(batch, mine, None):
+                if level.n == 1 and len(at):
+                    yield pd.DataFrame({"lang": [lang], "n": [0], "phrase": [""], "c": [level.counts[at].sum()]})
+                at = at[wanted.has(level.h[at])]
+                if len(at):
+                    yield pd.DataFrame({"lang": lang, "n": level.n, "phrase": level.texts(at), "c": level.counts[at]})
+
+    counted = texts.mapInPandas(count, "lang string, n int, phrase string, c long")
+    return counted.groupBy("lang", "n", "phrase").agg(F.sum("c").alias("c")).filter((F.col("c") >= least) | (F.col("n") == 0))
+
+
 def frequent(
     docs: DataFrame, least: int, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
@@ -222,8 +264,10 @@ def frequent(
     ).filter("text is not null")
     texts = rows.select("lang", "text")
     sample = stage(rows.filter(F.col("draw") < int(SAMPLE * (1 << 20))).select("lang", "text"), "phrases-sample")
-    proposals = mine(sample, max(2, int(least * SAMPLE * LOWERED)), [])
-    return mine(texts, least, [build_filter(proposals.filter(F.col("n").between(1, LONGEST - 1)))])
+    shards = parts_for(text_bytes(texts), SHARD_BYTES)
+    proposals, _ = mine(sample, max(2, int(least * SAMPLE * LOWERED)), [], shards)
+    found, filters = mine(texts, least, [build_filter(proposals.filter(F.col("n") < LONGEST))], shards)
+    return text_pass(texts, filters, build_filter(found), least)
 
 
 def _wide(c: str | Column) -> Column:
