@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .linking import linked
 from .skew import HOT_ROWS, salted_join
 
 
@@ -18,10 +19,15 @@ def normal_form(text: Column) -> Column:
     return F.lower(F.btrim(single))
 
 
+def catalog_numbers(oclc: Column) -> Column:
+    """The numbers of a comma-separated list, without blanks; null for null."""
+    return F.filter(F.transform(F.split(oclc, ","), lambda n: F.btrim(n)), lambda n: n != "")
+
+
 def work_key(oclc: Column, title: Column, author: Column, own: Column | None = None) -> Column:
     """The shared catalog number where there is one (the least of a list of them), else a
     hash of title and author.  A row without any of them has the key ``own``."""
-    numbers = F.filter(F.transform(F.split(oclc, ","), F.btrim), lambda n: n != "")
+    numbers = catalog_numbers(oclc)
     title, author = normal_form(title), normal_form(author)
     named = F.md5(F.concat_ws("\x1f", title, author))
     if own is not None:
@@ -37,6 +43,29 @@ def with_work_key(volumes: DataFrame, id_column: str = "htid") -> DataFrame:
     )
 
 
+def work_identifiers(oclc: Column, title: Column, author: Column) -> Column:
+    """All that names the work of a volume: every catalog number, and title with author."""
+    numbers = F.array_distinct(catalog_numbers(oclc))
+    title, author = normal_form(title), normal_form(author)
+    named = F.concat(F.lit("t:"), F.md5(F.concat_ws("\x1f", title, author)))
+    named = F.when((title != "") | (author != ""), F.array(named)).otherwise(F.array().cast("array<string>"))
+    numbered = F.transform(numbers, lambda n: F.concat(F.lit("n:"), n))
+    return F.concat(F.coalesce(numbered, F.array().cast("array<string>")), named)
+
+
+def with_work(volumes: DataFrame, id_column: str = "htid", min_rows: int = HOT_ROWS) -> DataFrame:
+    """``volumes`` with ``work_id``, the least volume id of their work.
+
+    Volumes are of one work if they share any catalog number or title and author, or if
+    a chain of volumes that do leads from one to the other.  A volume that shares nothing is
+    a work of its own; one without an id has no work.
+    """
+    names = work_identifiers(F.col("oclc_num"), F.col("title"), F.col("author"))
+    pairs = volumes.select(F.col(id_column).alias("node"), F.explode(names).alias("link"))
+    roots = linked(pairs, min_rows=min_rows).select(F.col("node").alias(id_column), F.col("root").alias("work_id"))
+    return volumes.join(roots, id_column, "left").withColumn("work_id", F.coalesce("work_id", id_column))
+
+
 def collapse_works(df: DataFrame, id_column: str = "htid", key: str = "work_key") -> DataFrame:
     """One row per work: number of volumes and the smallest volume id.
 
