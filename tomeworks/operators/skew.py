@@ -142,6 +142,42 @@ def with_previous(
     return cold.unionByName(spliced.select(*cold.columns)).drop("look_back")
 
 
+def carry_forward(
+    df: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    value: Column,
+    name: str = "carried",
+    min_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Add ``name``: the last ``value`` that is not null, in ``order``, within ``key``, up to the row
+    itself.  Long histories are cut into ranges as in ``with_previous``."""
+    key, order = list(key), list(order)
+    df = df.withColumn("look_back", value)
+    upto = lambda *by: Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    last = F.last("look_back", ignorenulls=True)
+    hot = hot_keys(df, key, min_rows)
+    if hot.isEmpty():
+        return df.withColumn(name, last.over(upto(*key))).drop("look_back")
+
+    marked = F.broadcast(hot.select(*[F.col(k).alias(f"hot_{k}") for k in key]))
+    matches = _same_key(df, marked, key, "hot_")
+    cold = df.join(marked, matches, "left_anti").withColumn(name, last.over(upto(*key)))
+    pieces = range_pieces(df.join(marked, matches, "left_semi"), [*key, *order])
+    inner = pieces.withColumn(name, last.over(upto(*key, "piece")))
+    known = F.col("look_back").isNotNull()
+    ends = pieces.groupBy(*key, "piece").agg(
+        F.max_by(F.when(known, F.col("look_back")), F.when(known, F.struct(*order))).alias("end")
+    )
+    before = Window.partitionBy(*key).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    handed = ends.withColumn("handed", F.last("end", ignorenulls=True).over(before))
+    # One row per range plus one per hot key, as in with_previous.
+    handed = F.broadcast(handed.select(*[F.col(c).alias(f"at_{c}") for c in [*key, "piece"]], "handed"))
+    joined = inner.join(handed, _same_key(inner, handed, [*key, "piece"], "at_"), "left")
+    spliced = joined.withColumn(name, F.coalesce(name, "handed"))
+    return cold.unionByName(spliced.select(*cold.columns)).drop("look_back")
+
+
 def top_rows(
     df: DataFrame,
     k: int,

@@ -1,6 +1,9 @@
 """Structured Streaming forms of the batch jobs."""
 
 from .ingest import append_stream, ingest_stream
-from .snapshots import current_snapshot, rebaseline, snapshot_stream
+from .snapshots import append_deltas, current_snapshot, mark_removed, rebaseline, snapshot_stream, versions
 
-__all__ = ["append_stream", "current_snapshot", "ingest_stream", "rebaseline", "snapshot_stream"]
+__all__ = [
+    "append_deltas", "append_stream", "current_snapshot", "ingest_stream", "mark_removed", "rebaseline", "snapshot_stream",
+    "versions",
+]
