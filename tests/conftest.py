@@ -28,7 +28,7 @@ class Landing:
     def __init__(self, root, provider="gutenberg"):
         self.root, self.provider, self.runs = root, provider, 0
 
-    def listing(self, records, page_size=2, only=None):
+    def listing(self, records, page_size, only=None):
         """Write the records as pages of a new fetch; ``only`` limits which pages land."""
         self.runs += 1
         folder = f"{self.root}/listing/provider={self.provider}"

@@ -19,10 +19,10 @@ OPTIONS = RunOptions(max_rows=400, budget=60, text_cap=40, rows_per_file=3)
 FIRST = 31
 
 
-def shelf(size, retitled=()):
+def shelf(size, retitled=(), word="Renamed"):
     """``size`` listed works, the later ones wanted less; the places in ``retitled`` have a new name."""
     return [
-        {"id": FIRST + i, "title": f"{'Renamed' if i in retitled else 'Tome'} no. {i}", "download_count": 900 - 7 * i}
+        {"id": FIRST + i, "title": f"{word if i in retitled else 'Tome'} no. {i}", "download_count": 900 - 7 * i}
         for i in range(size)
     ]
 
@@ -170,102 +170,84 @@ def test_page_without_run_in_its_name(spark, base, land):
         one(spark, base, land, mode="full", stages=("metadata",))
 
 
-def records(n, **changed):
-    out = [{"id": i, "title": f"Work {i}", "download_count": 10 * i} for i in range(1, n + 1)]
-    for key, title in changed.items():
-        out[int(key[1:]) - 1]["title"] = title
-    return out
-
-
-def texts(n):
-    return {i: f"{i} starts" for i in range(1, n + 1)}
-
-
-def by_id(spark, base):
-    return {str(i + FIRST): r for i, r in catalog(spark, base).items()}
-
-
-@pytest.fixture
-def five(spark, land):
-    return land.listing(records(5)).texts(spark, texts(5))
-
-
 def test_malformed_records_are_set_aside(spark, base, land):
     bad = [{"title": "no id"}, {"id": 9, "title": "x", "authors": [{"name": None}]}, {"id": 8, "title": 5}, "junk"]
-    land.listing([*records(2), *bad], page_size=3)
+    land.listing([*shelf(4), *bad], page_size=5)
     report = one(spark, base, land)
-    assert (report.new_records, report.quarantined, report.last_page) == (2, 4, 2)
-    assert spark.read.parquet(f"{base}/quarantine").count() == 4
+    assert (report.new_records, report.quarantined, report.last_page) == (4, 4, 2)
+    aside = spark.read.parquet(f"{base}/quarantine").orderBy("page", "pos").collect()
+    assert [(r.page, r.pos) for r in aside] == [(1, 4), (2, 0), (2, 1), (2, 2)]
+    assert [json.loads(r.raw) for r in aside[:3]] == bad[:3]
 
 
 def test_same_id_twice_in_one_run_is_stored_once(spark, base, land):
-    land.listing([*records(2), {"id": 1, "title": "later copy"}])
+    land.listing([*shelf(3), {"id": FIRST + 1, "title": "a later copy"}], page_size=3)
     report = one(spark, base, land)
-    assert (report.new_records, report.rows_written) == (3, 2)
-    assert by_id(spark, base)["1"].title == "later copy"
+    assert (report.new_records, report.rows_written) == (4, 3)
+    assert catalog(spark, base)[1].title == "a later copy"
 
 
-def test_run_delivered_twice_lands_once(spark, base, five):
+def test_run_delivered_twice_lands_once(spark, base, landed):
     for _ in range(2):
-        report = run(spark, base, five.root, options=OPTIONS, run_id="same")[0]
-        assert (report.run_seq, report.new_records, report.rows_written) == (1, 5, 5)
-    assert read_shards(spark, base).count() == 5
+        report = run(spark, base, landed.root, options=OPTIONS, run_id="same")[0]
+        assert (report.run_seq, report.new_records, report.rows_written) == (1, 7, 7)
+    assert read_shards(spark, base).count() == 7
     assert read_run_log(spark, base).count() == 1
 
 
-def test_run_that_died_is_repeated_whole(spark, base, five, monkeypatch):
+def test_run_that_died_is_repeated_whole(spark, base, landed, monkeypatch):
     def die(*_):
         raise RuntimeError("executor lost")
 
     with monkeypatch.context() as patched:
         patched.setattr(job, "write_report", die)
         with pytest.raises(RuntimeError):
-            run(spark, base, five.root, options=OPTIONS, run_id="first")
+            run(spark, base, landed.root, options=OPTIONS, run_id="first")
     # Another run comes between and may not take the number of the one that died.
-    between = one(spark, base, five)
-    assert (between.run_seq, between.unchanged_records, between.rows_written) == (2, 5, 0)
-    again = run(spark, base, five.root, options=OPTIONS, run_id="first")[0]
-    assert (again.run_seq, again.new_records, again.rows_written) == (1, 5, 5)
-    assert len(by_id(spark, base)) == 5 and read_shards(spark, base).count() == 5
+    between = one(spark, base, landed)
+    assert (between.run_seq, between.unchanged_records, between.rows_written) == (2, 7, 0)
+    again = run(spark, base, landed.root, options=OPTIONS, run_id="first")[0]
+    assert (again.run_seq, again.new_records, again.rows_written) == (1, 7, 7)
+    assert len(catalog(spark, base)) == 7 and read_shards(spark, base).count() == 7
 
 
-def test_without_any_broadcast(spark, base, five, monkeypatch):
+def test_without_any_broadcast(spark, base, landed, monkeypatch):
     """Batches too large to broadcast take the shuffling joins, with the same result."""
     monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(job, "_BROADCAST_PREVIEWS", 0)
-    first = one(spark, base, five, text_cap=1)
-    assert (first.new_records, first.text_fetched, first.text_pending) == (5, 1, 4)
-    five.listing(records(5, b1="Revised"))
-    second = one(spark, base, five, mode="full")
-    assert (second.changed_records, second.text_fetched, second.rows_written) == (1, 4, 4)
-    got = by_id(spark, base)
-    assert got["1"].title == "Revised" and all(r.searchable_text for r in got.values())
-
-
-def test_changed_record_without_text(spark, base, five):
-    one(spark, base, five)
-    five.listing(records(5, b2="New"))
-    one(spark, base, five, mode="full", stages=("metadata",))
-    assert by_id(spark, base)["2"].searchable_text is None
-    five.listing(records(5, b2="Newer", b3="New"))
-    one(spark, base, five, mode="full", stages=("metadata",), carry_text=True)
-    got = by_id(spark, base)
-    assert got["3"].searchable_text == "3 starts" and got["3"].title == "New"
-    assert got["2"].searchable_text is None and got["2"].title == "Newer"
-
-
-def test_unknown_provider(spark, base, five):
+    first = one(spark, base, landed, text_cap=1)
+    assert (first.new_records, first.text_fetched, first.text_pending) == (7, 1, 6)
+    landed.listing(shelf(7, {5}), page_size=3)
+    second = one(spark, base, landed, mode="full")
+    assert (second.changed_records, second.text_fetched, second.rows_written) == (1, 6, 6)
+    got = catalog(spark, base)
+    assert got[5].title == "Renamed no. 5" and all(r.searchable_text for r in got.values())
+
+
+def test_changed_record_without_text(spark, base, landed):
+    one(spark, base, landed)
+    landed.listing(shelf(7, {2}), page_size=3)
+    one(spark, base, landed, mode="full", stages=("metadata",))
+    assert catalog(spark, base)[2].searchable_text is None
+    landed.listing(shelf(7, {2, 3}, "Recast"), page_size=3)
+    one(spark, base, landed, mode="full", stages=("metadata",), carry_text=True)
+    got = catalog(spark, base)
+    assert got[3].searchable_text == "3 opens here" and got[3].title == "Recast no. 3"
+    assert got[2].searchable_text is None and got[2].title == "Recast no. 2"
+
+
+def test_unknown_provider(spark, base, landed):
     with pytest.raises(ValueError, match="nowhere"):
-        run(spark, base, five.root, providers=("nowhere",))
+        run(spark, base, landed.root, providers=("nowhere",))
 
 
 def test_a_page_still_to_land_is_waited_for(spark, base, land):
-    land.listing(records(6), only={1, 3})
+    land.listing(shelf(8), page_size=3, only={1, 3})
     first = one(spark, base, land, stages=("metadata",))
-    assert (first.new_records, first.last_page) == (2, 1) and "awaiting page 2" in first.stopped_reason
-    land.listing(records(6), only={2})
+    assert (first.new_records, first.last_page) == (3, 1) and "awaiting page 2" in first.stopped_reason
+    land.listing(shelf(8), page_size=3, only={2})
     second = one(spark, base, land, stages=("metadata",))
-    assert (second.new_records, second.last_page) == (4, 3)
+    assert (second.new_records, second.last_page) == (5, 3)
 
 
 def test_providers_side_by_side(spark, base, land):
@@ -273,18 +255,18 @@ def test_providers_side_by_side(spark, base, land):
     from tomeworks.plans.providers import listing_provider, register
 
     register(listing_provider("second"))
-    Landing(land.root, "second").listing(records(2, b1="Other"))
+    Landing(land.root, "second").listing(shelf(2, {0}), page_size=3)
     reports = run(spark, base, land.root, ("gutenberg", "second"), OPTIONS)
     assert [(r.provider, r.new_records) for r in reports] == [("gutenberg", 0), ("second", 2)]
-    land.listing(records(3))
+    land.listing(shelf(3), page_size=3)
     reports = run(spark, base, land.root, ("gutenberg", "second"), OPTIONS)
     assert [(r.new_records, r.unchanged_records) for r in reports] == [(3, 0), (0, 2)]
-    uids = {r.book_uid for r in read_by_id(spark, base).collect()}
-    assert uids == {"gutenberg:1", "gutenberg:2", "gutenberg:3", "second:1", "second:2"}
+    uids = {r.book_uid for r in read_catalog(spark, base).collect()}
+    assert uids == {f"gutenberg:{FIRST + i}" for i in range(3)} | {f"second:{FIRST + i}" for i in range(2)}
 
 
 def test_pages_behind_the_end_are_not_read(spark, base, land):
-    land.listing(records(6))
-    land.listing(records(3))  # the listing shrank: page 2 is now the last
+    land.listing(shelf(8), page_size=3)
+    land.listing(shelf(4), page_size=3)  # the listing shrank: page 2 is now the last
     assert one(spark, base, land, stages=("metadata",)).last_page == 2
-    assert set(by_id(spark, base)) == {"1", "2", "3"}
+    assert set(catalog(spark, base)) == {0, 1, 2, 3}

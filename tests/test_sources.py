@@ -11,8 +11,8 @@ from tomeworks.sources.listing import page_ends
 
 def test_pages_newest_run_wins(spark, land):
     folder = f"{land.root}/listing/provider={land.provider}"
-    land.listing([{"id": i} for i in range(1, 6)])
-    land.listing([{"id": i} for i in range(1, 7)], only={3})
+    land.listing([{"id": i} for i in range(1, 6)], page_size=2)
+    land.listing([{"id": i} for i in range(1, 7)], page_size=2, only={3})
     got = sources.read_listing(spark, folder).orderBy("page", "pos").collect()
     assert [(r.page, r.pos, json.loads(r.raw)["id"]) for r in got] == [
         (1, 0, 1), (1, 1, 2), (2, 0, 3), (2, 1, 4), (3, 0, 5), (3, 1, 6)
@@ -27,7 +27,7 @@ def test_page_ends(spark):
             ("a", 1, 1, '{"next":"x","results":[{"id":1}]}'), ("a", 2, 1, '{"next":null,"results":[{"id":2}]}'),
             ("a", 3, 1, '{"next":"x","results":[{"id":3}]}'),
             ("b", 1, 1, '{"next":"x","results":[{"id":1}]}'), ("b", 2, 1, '{"next":"x","results":[]}'),
-            ("c", 1, 1, '{"next":"x","results":[{"id":1}]}'), ("c", 2, 1, "broken"),
+            ("c", 1, 1, '{"next":"x","results":[{"id":1}]}'),
         ],
         "provider string, page long, run long, payload string",
     )
@@ -36,6 +36,16 @@ def test_page_ends(spark):
     assert sources.explode_pages(pages).count() == 5
 
 
+def test_a_broken_page_is_a_record_and_has_a_successor(spark):
+    pages = spark.createDataFrame(
+        [("c", 1, 1, '{"next":"x","results":[{"id":1}]}'), ("c", 2, 1, "broken"), ("c", 3, 1, '{"results":[{"id":3}]}')],
+        "provider string, page long, run long, payload string",
+    )
+    listed = sources.explode_pages(pages, keep_empty=True)
+    assert page_ends(listed).first().end_page == 3
+    assert [(r.page, r.raw) for r in listed.orderBy("page").collect()][1] == (2, "broken")
+
+
 def volume(**values):
     row = {c: "" for c in fixed.VOLUME_COLUMNS} | values
     return "\t".join(row.values()).encode()

@@ -15,7 +15,7 @@ def titles(spark, base):
 
 def test_stream_equals_batch_and_resumes(spark, land, tmp_path):
     records = [{"id": i, "title": f"Book {i}"} for i in range(1, 6)]
-    land.listing(records).texts(spark, {i: f"text {i}" for i in range(1, 6)})
+    land.listing(records, page_size=2).texts(spark, {i: f"text {i}" for i in range(1, 6)})
     base, check = str(tmp_path / "s"), str(tmp_path / "c")
 
     def take(**options):
@@ -30,7 +30,7 @@ def test_stream_equals_batch_and_resumes(spark, land, tmp_path):
 
     take()  # nothing has landed
     assert read_run_log(spark, base).count() == 2
-    land.listing([*records, {"id": 6, "title": "Book 6"}], only={3})
+    land.listing([*records, {"id": 6, "title": "Book 6"}], page_size=2, only={3})
     take()
     last = read_run_log(spark, base).orderBy("run_seq").collect()[-1]
     assert (last.new_records, last.unchanged_records, last.run_seq) == (1, 1, 3)

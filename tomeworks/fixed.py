@@ -49,6 +49,12 @@ WHITE_SPACE = (
 )
 NUMBER_PATTERN = r"-?\d+(?:\.\d+)?"
 
+# --- fixed values: columns that a content hash leaves out ----------------------
+NOT_HASHED = (
+    "download_count", "ingested_at", "content_hash", "provider_version", "schema_version",
+    "searchable_text", "text_source", "text_char_count",
+)
+
 # --- fixed values: run defaults ----------------------------------------------
 # A run takes all there is unless its caller sets limits.
 DEFAULT_MAX_ROWS = None

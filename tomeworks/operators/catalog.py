@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -63,6 +63,12 @@ def read_catalog(spark: SparkSession, base: str, provider: str | None = None) ->
     return conform(latest_shards(spark, base, provider), RECORD)
 
 
+def read_run(spark: SparkSession, base: str, provider: str, day: date, run_seq: int) -> DataFrame:
+    """What one run has stored; no other partition is listed or opened."""
+    folder = f"{base}/catalog/provider={provider}/ingest_date={day.isoformat()}/run_seq={run_seq}"
+    return spark.read.schema(STORED).option("basePath", f"{base}/catalog").parquet(folder)
+
+
 def append_catalog(
     df: DataFrame,
     base: str,

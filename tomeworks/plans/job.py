@@ -2,11 +2,14 @@
 
 One run takes landed pages to stored records in these steps:
 
-1. read the pages from the checkpoint on, normalize their records, stage them once;
-2. compare content hashes with the newest stored versions (narrow columns only);
+1. read the pages from the checkpoint on and stage a narrow row of each record;
+2. compare content hashes with the state table, in the slots the records fall into;
 3. find the page on which the row cap falls and drop what lies behind it;
 4. give text to the most wanted records that lack it, within the text budget;
-5. write the rows of the run as one partition, then manifest and run log.
+5. normalize the rows to keep whole and write them as one partition, then bring the state
+   table, the manifest and the run log up to date.
+
+Stored shards are opened only for records that gain text or carry theirs over.
 
 The driver sees counters and page numbers, never records.  Everything a run writes is
 keyed by its reserved sequence number, so a run that is delivered twice lands once.
@@ -22,21 +25,23 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed
-from ..operators.catalog import RECENCY, append_catalog, latest_wins, manifest
+from ..operators.catalog import RECENCY, append_catalog, latest_wins, manifest, read_run
 from ..operators.changes import cap_pages, classify_changes
 from ..operators.enrich import attach_text, fetch_previews, select_budget
 from ..operators.profile import status_counts
 from ..schema import STORED, conform
 from ..session import broadcast_if_small, drop_stages, stage, staged_so_far
 from ..sources import explode_pages, read_shards
-from ..sources.listing import first_gap, newest_pages, page_ends
+from ..sources.listing import first_gap, one_delivery, page_ends
 from . import providers as registry
 from .runlog import RunReport, reserve, resume_page, write_report
+from .state import State
 
 # A row's place in its run: page and position in one number.  A position is an int, so no
 # two places meet.
 _POSITIONS = 1 << 32
 _ID = ("provider", "source_id")
+_PLACE = ("provider", "page", "pos")
 _TEXT = ("searchable_text", "text_source", "text_char_count")
 # Previews are up to PREVIEW_CHARS long; this many still make a small broadcast.
 _BROADCAST_PREVIEWS = 4096
@@ -104,8 +109,7 @@ def ingest(
             spark, base, f"{run_id}/{provider}", run_ts
         )
         report = RunReport(run_id, seq, provider, options.mode, ts)
-        # One payload for each page: the newest fetch of it, however often that was delivered.
-        pages = newest_pages(pages).dropDuplicates(["provider", "page"])
+        pages = one_delivery(pages)
         return _take(spark, base, source, pages, texts, options, report, start=None)
     finally:
         drop_stages(spark, mark)
@@ -133,20 +137,36 @@ def _run_provider(spark, base, landing, source, options, run_id, run_ts) -> RunR
 
 
 def _take(spark, base, source, pages, texts, options, report, start) -> RunReport:
-    stored = read_shards(spark, base, source.name)
-    if not options.dry_run:
+    state = State(spark, base, source.name, options.priority, report.run_seq, options.dry_run)
+
+    def stored() -> DataFrame:
         # A run that is delivered again must not see what its first attempt wrote.
-        stored = stored.where(F.col("run_seq") < report.run_seq)
+        shards = read_shards(spark, base, source.name)
+        return shards if options.dry_run else shards.where(F.col("run_seq") < report.run_seq)
+
+    def normalized(raw: DataFrame) -> DataFrame:
+        return source.normalize(raw, report.started_at, options.chars)
 
-    fresh = listed = None
+    listed = raw = fresh = wanting = None
     if pages is not None and "metadata" in options.stages:
         raw = explode_pages(pages, keep_empty=True)
-        listed = stage(source.normalize(raw, report.started_at, options.chars), "listed")
-        fresh = _collect(listed, stored, options, report, start)
+        kind = ("has_next", "sound", "content_hash", "text_char_count", options.priority)
+        # A first run keeps nearly all that is listed, so whole rows are staged; later ones keep
+        # little, and normalize that little once more.
+        first = state.records == 0
+        whole = normalized(raw)
+        listed = stage(whole if first else whole.select(*_PLACE, "source_id", *dict.fromkeys(kind)), "listed")
+        kept = _collect(listed, state, options, report, start)
+        if kept is not None:
+            fresh = _only(listed, kept, report) if first else normalized(_only(raw, kept, report))
+            if options.carry_text:
+                fresh = _carry_text(fresh, kept, stored())
+            narrow = fresh if options.carry_text else listed.join(kept.select(*_PLACE), list(_PLACE), "left_semi")
+            wanting = narrow.select(*_PLACE, "source_id", "text_char_count", options.priority)
 
     gained = None
     if "text" in options.stages and options.text_enabled and texts is not None:
-        fresh, gained = _enrich(fresh, stored, texts, options, report)
+        fresh, gained = _enrich(fresh, wanting, state, stored, texts, options, report)
 
     if options.dry_run:
         report.stopped_reason += "; nothing stored, as asked"
@@ -158,6 +178,7 @@ def _take(spark, base, source, pages, texts, options, report, start) -> RunRepor
         parts.append(conform(fresh.withColumn("row_seq", place), STORED))
     if gained is not None:
         parts.append(conform(gained.withColumn("row_seq", F.lit(0)), STORED))
+    written = None
     if parts:
         rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         rows = (
@@ -166,18 +187,31 @@ def _take(spark, base, source, pages, texts, options, report, start) -> RunRepor
             .withColumn("run_seq", F.lit(report.run_seq).cast("bigint"))
         )
         append_catalog(rows, base, options.rows_per_file, options.compression)
-        _account(spark, base, source.name, report)
+        written = read_run(spark, base, source.name, report.started_at.date(), report.run_seq)
+        _account(written, base, report)
+    state.update(written, report.new_records)
     if listed is not None:
-        _set_aside(listed, base, source.name, report)
+        _set_aside(listed, raw, base, source.name, report)
     write_report(spark, base, report)
     return report
 
 
-def _collect(listed, stored, options, report, start) -> DataFrame | None:
-    """Steps 2 and 3: the new and changed records of the pages this run may take."""
+def _only(rows, kept, report) -> DataFrame:
+    """The rows at the places ``kept``.  Where nothing that was listed is left out, no
+    place is compared."""
+    if report.listed == _kept(report) == kept.count():
+        return rows.where("pos is not null")
+    places = broadcast_if_small(kept.select(*_PLACE), rows=_kept(report))
+    return rows.join(places, list(_PLACE), "left_semi")
+
+
+def _collect(listed, state, options, report, start) -> DataFrame | None:
+    """Steps 2 and 3: places and status of the new and changed records of the pages this run
+    may take, the last of each id."""
     ends = page_ends(listed).first()
     if ends is None:
         return None
+    report.listed = ends["records"]
     reader_driven = start is not None
     horizon = ends["end_page"] if reader_driven else ends["last_landed"]
     if reader_driven:
@@ -199,13 +233,9 @@ def _collect(listed, stored, options, report, start) -> DataFrame | None:
     incoming = listed.where(F.col("sound") & (F.col("page") <= horizon)).select(
         *_ID, "content_hash", "page", "pos"
     )
-    # Where the batch is small, stored versions of other records are dropped in the scan
-    # and the catalog is never shuffled for it.
-    ids = broadcast_if_small(incoming.select(*_ID), rows=ends["records"])
-    versions = stored.select(*_ID, "content_hash", *RECENCY).join(ids, list(_ID), "left_semi")
-    known = latest_wins(versions, _ID, RECENCY)
+    known = state.near(incoming)
     decided = stage(
-        classify_changes(incoming, known, _ID, spread_by=("page", "pos")), "decided"
+        classify_changes(incoming, known, ("source_id",), spread_by=("page", "pos")), "decided"
     )
 
     upto = horizon
@@ -232,15 +262,12 @@ def _collect(listed, stored, options, report, start) -> DataFrame | None:
         return None
 
     kept = latest_wins(within.where("status <> 'unchanged'"), _ID, ("page", "pos"))
-    kept = broadcast_if_small(
-        kept.select("provider", "page", "pos", "status"), rows=_kept(report)
-    )
-    fresh = listed.join(kept, ["provider", "page", "pos"])
-    return _carry_text(fresh, stored) if options.carry_text else fresh.drop("status")
+    return stage(kept.select(*_PLACE, "source_id", "status"), "kept")
 
 
-def _carry_text(fresh, stored) -> DataFrame:
+def _carry_text(fresh, kept, stored) -> DataFrame:
     """Changed records that come without text keep the text of their last version."""
+    fresh = fresh.join(kept.select(*_PLACE, "status"), list(_PLACE))
     bare = fresh.where("status = 'changed' and text_char_count = 0").select(*_ID)
     versions = stored.select(*_ID, *_TEXT, *RECENCY)
     versions = versions.join(broadcast_if_small(bare), list(_ID), "left_semi")
@@ -258,30 +285,25 @@ def _kept(report) -> int:
     return report.new_records + report.changed_records
 
 
-def _owed(stored, fresh, priority, kept) -> DataFrame:
+def _owed(state, listed) -> DataFrame:
     """Narrow rows of stored records whose newest version has no text, except records
-    that this run lists again.  Only records that ever lacked text are looked at."""
-    ever = stored.where("text_char_count = 0").select(*_ID).distinct()
-    versions = stored.select(*_ID, "text_char_count", priority, *RECENCY)
-    versions = versions.join(broadcast_if_small(ever), list(_ID), "left_semi")
-    owed = latest_wins(versions, _ID, RECENCY).where("text_char_count = 0")
-    if fresh is not None:
-        listed = broadcast_if_small(fresh.select(*_ID), rows=kept)
-        owed = owed.join(listed, list(_ID), "left_anti")
-    return owed
+    that this run lists again."""
+    owed = state.rows().where("owes")
+    return owed if listed is None else owed.join(listed.select("source_id"), "source_id", "left_anti")
+
 
+def _enrich(fresh, listed, state, stored, texts, options, report) -> tuple[DataFrame | None, DataFrame | None]:
+    """Step 4: (fresh records with text filled in, stored records that gained text).
 
-def _enrich(fresh, stored, texts, options, report) -> tuple[DataFrame | None, DataFrame | None]:
-    """Step 4: (fresh records with text filled in, stored records that gained text)."""
-    owed = _owed(stored, fresh, options.priority, _kept(report))
+    ``listed`` are the narrow rows of the fresh records."""
     # Ties go by arrival, records owed from earlier runs first.
-    targets = owed.select(
-        *_ID, options.priority, F.lit(0).alias("wave"),
-        F.col("run_seq").alias("a"), F.col("row_seq").alias("b"),
+    targets = _owed(state, listed).select(
+        F.lit(report.provider).alias("provider"), "source_id", F.col("wanted").alias(options.priority),
+        F.lit(0).alias("wave"), F.col("run_seq").alias("a"), F.col("row_seq").alias("b"),
     )
-    if fresh is not None:
+    if listed is not None:
         targets = targets.unionByName(
-            fresh.where("text_char_count = 0").select(
+            listed.where("text_char_count = 0").select(
                 *_ID, options.priority, F.lit(1).alias("wave"),
                 F.col("page").alias("a"), F.col("pos").cast("bigint").alias("b"),
             )
@@ -311,11 +333,13 @@ def _enrich(fresh, stored, texts, options, report) -> tuple[DataFrame | None, Da
     small = broadcast_if_small(previews, _BROADCAST_PREVIEWS, rows=got)
     if fresh is not None:
         fresh = attach_text(fresh, small, _ID)
+    if not targets.where("wave = 0").join(previews.select(*_ID), list(_ID), "left_semi").limit(1).count():
+        return fresh, None
     hit = broadcast_if_small(previews.select(*_ID), rows=got)
     old = targets.where("wave = 0").select(*_ID, F.col("a").alias("run_seq"), F.col("b").alias("row_seq"))
     old = old.join(hit, list(_ID), "left_semi")
     old = broadcast_if_small(old, rows=got)
-    versions = stored.join(old, [*_ID, "run_seq", "row_seq"], "left_semi")
+    versions = stored().join(old, [*_ID, "run_seq", "row_seq"], "left_semi")
     return fresh, attach_text(versions, small, _ID)
 
 
@@ -323,28 +347,29 @@ def _left(options, report) -> int | None:
     return None if options.budget is None else options.budget - report.pages_read
 
 
-def _account(spark, base, provider, report) -> None:
+def _account(written, base, report) -> None:
     """Count what this run has on disk and write its manifest."""
-    written = read_shards(spark, base, provider).where(F.col("run_seq") == report.run_seq)
     (
-        manifest(written, report.started_at)
-        .write.mode("overwrite")
+        manifest(written, report.started_at).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_seq", "provider")
         .parquet(f"{base}/_manifest")
     )
-    report.rows_written = written.count()
+    own = written.sparkSession.read.parquet(f"{base}/_manifest/run_seq={report.run_seq}/provider={report.provider}")
+    report.rows_written = own.agg(F.sum("rows")).first()[0] or 0
 
 
-def _set_aside(listed, base, provider, report) -> None:
+def _set_aside(listed, raw, base, provider, report) -> None:
     """Keep malformed records where they can be looked at."""
     bad = listed.where(
         ~F.col("sound") & F.col("pos").isNotNull() & (F.col("page") <= report.last_page)
     )
     report.quarantined = bad.count()
     if report.quarantined:
+        places = broadcast_if_small(bad.select(*_PLACE), rows=report.quarantined)
         (
-            bad.select("page", "pos", "raw")
+            raw.join(places, list(_PLACE), "left_semi")
+            .select("page", "pos", "raw")
             .withColumn("run_seq", F.lit(report.run_seq))
             .withColumn("provider", F.lit(provider))
             .write.mode("overwrite")

@@ -36,6 +36,8 @@ class RunReport:
     rows_written: int = 0
     quarantined: int = 0
     stopped_reason: str = "completed"
+    #: Records on the pages that were read, malformed ones too; not part of the log.
+    listed: int = 0
 
     def as_row(self, spark: SparkSession) -> DataFrame:
         """The report as the one row that the run log keeps of it."""
@@ -64,6 +66,13 @@ def reserve(spark: SparkSession, base: str, run_id: str, run_ts: datetime) -> tu
     return run_seq, run_ts
 
 
+def reserved_between(spark: SparkSession, base: str, provider: str, after: int, before: int) -> bool:
+    """Whether a run of the provider took a number between the two."""
+    taken = read_or_empty(spark, f"{base}/_reserved", RESERVED)
+    own = F.endswith("run_id", F.lit(f"/{provider}"))
+    return not taken.where(own & (F.col("run_seq") > after) & (F.col("run_seq") < before)).isEmpty()
+
+
 def read_run_log(spark: SparkSession, base: str) -> DataFrame:
     return read_or_empty(spark, f"{base}/_runs", RUN_LOG)
 

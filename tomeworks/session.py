@@ -78,8 +78,43 @@ def staged_so_far() -> int:
 def drop_stages(spark: SparkSession, since: int = 0) -> None:
     """Remove the copies this thread staged after mark ``since`` (see ``staged_so_far``)."""
     while len(_STAGED.paths) > since:
-        target = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.paths.pop())
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        remove(spark, _STAGED.paths.pop())
+
+
+def settle(spark: SparkSession, df: DataFrame, label: str, since: int) -> DataFrame:
+    """Stage ``df`` and remove what this thread staged for it after mark ``since``."""
+    kept = stage(df, label)
+    path = _STAGED.paths.pop()
+    drop_stages(spark, since)
+    _STAGED.paths.append(path)
+    return kept
+
+
+def _folder(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder, whatever file system it lies in."""
+    target, files = _folder(spark, path)
+    files.mkdirs(target)
+
+
+def move_only_file(spark: SparkSession, folder: str, target: str) -> None:
+    """Move the one data file of ``folder`` to the place ``target``."""
+    source, files = _folder(spark, folder)
+    found = [f.getPath() for f in files.listStatus(source) if not f.getPath().getName().startswith(("_", "."))]
+    place, _ = _folder(spark, target)
+    files.mkdirs(place.getParent())
+    if len(found) != 1 or not files.rename(found[0], place):
+        raise FileNotFoundError(f"{folder} does not hold one file that can be moved to {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all in it."""
+    target, files = _folder(spark, path)
+    files.delete(target, True)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:

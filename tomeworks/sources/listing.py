@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, stage
 
 PAGES = T.StructType(
     [
@@ -97,6 +97,27 @@ def newest_pages(pages: DataFrame, names: DataFrame | None = None) -> DataFrame:
     return pages.join(broadcast_if_small(stale), ["provider", "page", "run"], "left_anti")
 
 
+def one_delivery(pages: DataFrame) -> DataFrame:
+    """One payload for each page: the newest fetch of it, however often that was delivered.
+
+    Of payloads that differ under one name the one with the larger hash counts.  Only names
+    and hashes are grouped, and only where pages come more than once are rows dropped.
+    """
+    pages = newest_pages(pages)
+    mark = F.xxhash64("payload").alias("mark")
+    several = (
+        pages.select("provider", "page", mark).groupBy("provider", "page")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("mark").alias("mark")).where("n > 1").drop("n")
+    )
+    several = stage(several, "deliveries")
+    if several.isEmpty():
+        return pages
+    again = broadcast_if_small(several.select("provider", "page"))
+    once = pages.join(again, ["provider", "page"], "left_anti")
+    chosen = pages.withColumn("mark", mark).join(broadcast_if_small(several), ["provider", "page", "mark"], "left_semi")
+    return once.unionByName(chosen.dropDuplicates(["provider", "page"]).drop("mark"))
+
+
 def explode_pages(pages: DataFrame, keep_empty: bool = False) -> DataFrame:
     """One row per listed record: (provider, page, has_next, pos, raw), ``raw`` being its
     JSON text.  With ``keep_empty`` a page without records leaves one row without pos.
