@@ -7,9 +7,7 @@ tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed
 from .. import functions as fn
@@ -18,25 +16,11 @@ from ..operators import snapshots, vectors, works
 from ..session import stage, work_path
 from ..sources import explode_pages, newest_file, parse_volumes
 from ..streaming.ingest import append_stream
+from . import registered_history, registered_runs  # noqa: F401  (they register their queries)
 from .job import RunOptions, ingest
+from .registry import ORACLES, QUERIES, query, table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(build):
-        QUERIES[build.__name__] = build
-        if sql is not None:
-            ORACLES[build.__name__] = sql
-        return build
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+__all__ = ["ORACLES", "QUERIES"]
 
 # --- latest version, change detection ---------------------------------------------
 
@@ -1157,6 +1141,7 @@ def ingest_run(spark, sf_dir):
         F.lit('{"next": "more", "results": ['), F.array_join(F.col("records.raw"), ","), F.lit("]}")
     )
     pages = pages.select("provider", "page", F.lit(1).cast("bigint").alias("run"), payload.alias("payload"))
+    pages = stage(pages, "landed-pages")  # a run reads its pages more than once
     texts = table(spark, sf_dir, "pages").select(
         F.lit(fixed.LISTING_SOURCE).alias("provider"),
         F.col("page_id").cast("string").alias("source_id"),
