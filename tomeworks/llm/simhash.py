@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import components, forest, keyed, mix, parts_for, popcount, stage, words_of
+from .common import components, forest, keyed, parts_for, popcount, stage, words_of
 
 # Fingerprints of one trie node at most; two nodes meet in one row of work.
 NODE_ROWS = 4096
@@ -33,15 +33,6 @@ OUTRIGHT = 64
 MOST_FLIPS = 512
 # Node pairs that descend together at once; bounds the memory of a task.
 FRONTIER = 1 << 16
-# Longs of a wide SimHash; its blocks of 32 bits are the fingerprints of so many tables.
-WORDS = 8
-TABLES, TABLE_BITS = 2 * WORDS, 4
-# Differing bits of two blocks of a table at most.
-TABLE_BUDGET = 3
-# How far below the similarity an estimate may be for a pair to be compared (over four deviations).
-MARGIN = 0.15
-# Shingles whose votes are added up in one byte lane.
-_LANE = 255
 
 
 def fingerprint(words: list[bytes], shingle: int) -> int:
@@ -192,19 +183,7 @@ def linked(distinct: DataFrame, budget: int, label: str = "simhash") -> DataFram
             a, b = forest(np.concatenate(left), np.concatenate(right))
             yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return _node_pairs(distinct, budget, 0, label).mapInPandas(run, "a long, b long")
-
-
-def neighbours(distinct: DataFrame, budget: int, fixed: int, label: str = "simhash") -> DataFrame:
-    """All pairs ``(a, b)`` of fingerprints that differ in at most ``budget`` bits, none of them
-    among the first ``fixed``.  A fingerprint has a bounded number of neighbours."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pairs in _unpacked(batches):
-            for a, b in _join_nodes(pairs, budget):
-                yield pd.DataFrame({"a": np.minimum(a, b).view(np.int64), "b": np.maximum(a, b).view(np.int64)})
-
-    return _node_pairs(distinct, budget, fixed, label).mapInPandas(run, "a long, b long")
+    return _node_pairs(distinct, budget, label).mapInPandas(run, "a long, b long")
 
 
 def _unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
@@ -214,12 +193,12 @@ def _unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple[np.ndarray
             yield [(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(part["fa"], part["fb"])]
 
 
-def _node_pairs(distinct: DataFrame, budget: int, fixed: int, label: str) -> DataFrame:
+def _node_pairs(distinct: DataFrame, budget: int, label: str) -> DataFrame:
     """``fa, fb``: the fingerprints of every two trie nodes whose prefixes are within the budget."""
     distinct = stage(distinct, label)
     count = distinct.count()
-    base = max(fixed, (count // NODE_ROWS).bit_length())
-    while base > fixed and sum(comb(base - fixed, i) for i in range(budget + 1)) > MOST_FLIPS:
+    base = (count // NODE_ROWS).bit_length()
+    while base and sum(comb(base, i) for i in range(budget + 1)) > MOST_FLIPS:
         base -= 1
     nodes = stage(trie_nodes(distinct, base, parts_for(count, 8 * NODE_ROWS)), label)
     # the first fingerprint of a node, its stem, is in no other node and so names it
@@ -228,7 +207,7 @@ def _node_pairs(distinct: DataFrame, budget: int, fixed: int, label: str) -> Dat
     mine = nodes.select(stem.alias("a"), F.col("depth").alias("da"), top.alias("top"))
     near = nodes.select(
         stem.alias("b"), F.col("depth").alias("db"),
-        F.explode(F.array(*[top.bitwiseXOR(F.lit(f).cast("long")) for f in _flips(base - fixed, budget)])).alias("top"),
+        F.explode(F.array(*[top.bitwiseXOR(F.lit(f).cast("long")) for f in _flips(base, budget)])).alias("top"),
     )
     shared = F.least("da", "db")
     differing = F.when(shared == 0, 0).otherwise(
@@ -244,169 +223,12 @@ def _flips(bits: int, budget: int) -> list[int]:
     return [sum(1 << i for i in c) for n in range(budget + 1) for c in combinations(range(bits), n)]
 
 
-def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
-    """The distinct shingles' XXH64 hashes (seed 42), sorted; a shorter text is one shingle."""
-    import xxhash
-
-    if not words:
-        return np.zeros(0, np.uint64)
-    line = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words])
-    starts = np.r_[0, ends[: max(0, len(words) - shingle)]].tolist()
-    stops = (ends[min(shingle, len(words)) - 1 :] - 1).tolist()
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(line[a:b], 42) for a, b in zip(starts, stops)], np.uint64))
-
-
-def wide_fingerprint(h: np.ndarray) -> np.ndarray:
-    """WORDS signed longs of majority bits over the distinct shingles, then their number."""
-    out = np.zeros(WORDS + 1, np.int64)
-    if not len(h):
-        return out
-    votes = np.zeros(64 * WORDS, np.int64)
-    lanes = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
-    for lo in range(0, len(h), 16 * _LANE):
-        bits = mix(h[lo : lo + 16 * _LANE, None], np.arange(WORDS, dtype=np.uint64)).view(np.uint8)
-        # eight votes in the bytes of a long; no byte runs over within a lane
-        sums = np.add.reduceat(lanes[bits], np.arange(0, len(bits), _LANE), axis=0)
-        votes += sums.view(np.uint8).sum(0, dtype=np.int64)
-    out[:WORDS] = np.packbits((2 * votes > len(h)).astype(np.uint8), bitorder="little").view(np.int64)
-    out[WORDS] = len(h)
-    return out
-
-
-def wide_fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text_key, w, cid`` for every row; ``cid`` is a hash of the set of shingles."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
-
-        for batch in batches:
-            prints, names = [], []
-            for text in batch["text"]:
-                h = shingle_hashes(words_of(text), shingle)
-                prints.append(wide_fingerprint(h))
-                names.append(xxhash.xxh3_64_intdigest(h.tobytes()))
-            out = batch[["doc_id", "text_key"]].astype({"doc_id": "Int64"})
-            yield out.assign(w=prints, cid=np.array(names, np.uint64).view(np.int64))
-
-    return keyed(docs, id_col, text_col).mapInPandas(run, "doc_id long, text_key long, w array<bigint>, cid long")
-
-
-def _shingle_sets(docs: DataFrame, places: DataFrame, shingle: int) -> DataFrame:
-    """``cid, h``: the shingles of the classes whose texts are at ``places``; only those texts are read."""
-    here = docs.alias("d").join(places.alias("p"), F.expr("d.doc_id <=> p.doc_id and d.text_key = p.text_key"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            h = [shingle_hashes(words_of(t), shingle).view(np.int64) for t in batch["text"]]
-            yield pd.DataFrame({"cid": batch["cid"], "h": h})
-
-    return here.select("cid", "text").mapInPandas(run, "cid long, h array<bigint>").dropDuplicates(["cid"])
-
-
-def _alike(
-    pairs: DataFrame, classes: DataFrame, similarity: float, docs: DataFrame, shingle: int, exact: bool
-) -> DataFrame:
-    """The pairs of classes ``a, b`` whose Jaccard similarity is ``similarity`` or more.
-
-    The share of differing bits gives the angle, its cosine and the numbers of shingles the size
-    of the intersection.  If ``exact``, this estimate only leaves out the pairs that are far
-    below, and the shingles themselves decide on the others."""
-    wa = classes.select(F.col("cid").alias("a"), F.col("w").alias("wa"))
-    wb = classes.select(F.col("cid").alias("b"), F.col("w").alias("wb"))
-    differing = sum((F.bit_count(F.col("wa")[i].bitwiseXOR(F.col("wb")[i])) for i in range(WORDS)), F.lit(0))
-    na, nb = F.col("wa")[WORDS], F.col("wb")[WORDS]
-    shared = F.least(F.cos(differing * (np.pi / (64 * WORDS))) * F.sqrt(na.cast("double") * nb), na, nb)
-    low = max(0.0, similarity - MARGIN) if exact else similarity
-    both = pairs.join(wa, "a").join(wb, "b").filter((na > 0) & (nb > 0) & (shared >= low * (na + nb - shared)))
-    if not exact:
-        return both.select(*pairs.columns)
-    likely = stage(both.select(*pairs.columns), "simhash")
-    ids = likely.select(F.col("a").alias("cid")).union(likely.select(F.col("b").alias("cid"))).distinct()
-    sets = stage(_shingle_sets(docs, stage(classes.join(ids, "cid").select("cid", "doc_id", "text_key"), "simhash"), shingle), "simhash")
-    both = likely.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b")
-    common = F.size(F.array_intersect("ha", "hb"))
-    return both.filter(common >= similarity * (F.size("ha") + F.size("hb") - common) - 1e-9).select(*pairs.columns)
-
-
-def similar_groups(
-    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
-    exact: bool = False,
-) -> DataFrame:
-    """``doc_id, text_key, root`` for every row; rows of one ``root`` are near duplicates.
-
-    Every text has a SimHash of 64 * WORDS bits.  Each of its TABLES blocks of 32 bits is a
-    fingerprint of a trie; blocks within TABLE_BUDGET bits make a candidate.  If
-    ``exact``, the Jaccard similarity of the distinct shingles decides, else its estimate.  Texts at a similarity of 0.9
-    meet in some table in all but 1 of 10^5 cases, at 0.8 in 99 % (computed, for independent bits).
-    Texts with equal sets of shingles are one class.  Links are closed transitively.  In the first round the classes of an equal block are compared with the least of
-    them; in the second one class of each group found so far speaks for it in each block, which
-    joins most of a large group of near copies; in the third all classes of two blocks that are
-    still in different groups are compared, so no link of a candidate is left out.
-    """
-    label = "simhash"
-    docs = keyed(docs, id_col, text_col)
-    prints = stage(wide_fingerprints(docs, shingle), label)
-    place = F.min(F.struct("doc_id", "text_key")).alias("p")
-    classes = stage(prints.groupBy("cid").agg(F.first("w").alias("w"), place).select("cid", "w", "p.doc_id", "p.text_key"), label)
-    blocks = [
-        F.shiftrightunsigned(F.col("w")[t // 2], 32 * (t % 2)).bitwiseAND(F.lit(0xFFFFFFFF))
-        for t in range(TABLES)
-    ]
-    # table number, block, zeros
-    number = [(t << 60) - (1 << 64 if t >> 3 else 0) for t in range(TABLES)]
-    keys = [F.shiftleft(b, 28).bitwiseOR(F.lit(n).cast("long")) for n, b in zip(number, blocks)]
-    rows = stage(classes.select("cid", F.explode(F.array(*keys)).alias("fp")), label)
-    lead = stage(rows.groupBy("fp").agg(F.min("cid").alias("lead"), F.count("*").alias("n")), label)
-    several = lead.filter("n > 1")
-
-    star = rows.join(several.select("fp", F.col("lead").alias("a")), "fp").filter("cid != a")
-    star = stage(star.select("a", F.col("cid").alias("b")).distinct(), label)
-    near = stage(components(_alike(star, classes, similarity, docs, shingle, exact), label), label)
-
-    pairs = neighbours(lead.select("fp"), TABLE_BUDGET, TABLE_BITS, label)
-    pairs = stage(pairs.union(several.select(F.col("fp").alias("a"), F.col("fp").alias("b"))).toDF("fa", "fb"), label)
-    met = stage(pairs.select(F.col("fa").alias("fp")).union(pairs.select(F.col("fb").alias("fp"))).distinct(), label)
-    speakers = stage(
-        rows.join(met, "fp", "left_semi")
-        .join(near.withColumnRenamed("node", "cid"), "cid", "left")
-        .groupBy("fp", F.coalesce("root", "cid").alias("root")).agg(F.min("cid").alias("cid")),
-        label,
-    )
-    ends = [
-        speakers.select(F.col("fp").alias(f"f{x}"), F.col("root").alias(f"r{x}"), F.col("cid").alias(x)) for x in "ab"
-    ]
-    apart = pairs.join(ends[0], "fa").join(ends[1], "fb").filter("ra != rb").filter("fa != fb or ra < rb")
-    apart = stage(apart.select("a", "b", "ra", "rb").distinct(), label)
-    links = _alike(apart, classes, similarity, docs, shingle, exact).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    far = stage(components(links, label), label).select(F.col("node").alias("first"), F.col("root").alias("last"))
-
-    named = classes.select("cid").join(near.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "cid", F.coalesce("root", "cid").alias("first")
-    )
-    named = stage(named.join(far, "first", "left").select("cid", F.coalesce("last", "first").alias("root")), label)
-    members = stage(rows.join(met, "fp", "left_semi").join(named, "cid"), label)
-    ends = [
-        members.select(F.col("fp").alias(f"f{x}"), F.col("root").alias(f"r{x}"), F.col("cid").alias(x)) for x in "ab"
-    ]
-    apart = pairs.join(ends[0], "fa").join(ends[1], "fb").filter("ra != rb").filter("fa != fb or a < b")
-    apart = stage(apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), label)
-    links = _alike(apart, classes, similarity, docs, shingle, exact)
-    for x in "ab":
-        links = links.join(named.select(F.col("cid").alias(x), F.col("root").alias(f"r{x}")), x)
-    last = components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b")), label)
-    last = stage(last, label).select(F.col("node").alias("root"), F.col("root").alias("least"))
-    named = stage(named.join(last, "root", "left").select("cid", F.coalesce("least", "root").alias("root")), label)
-    return prints.join(named, "cid").select("doc_id", "text_key", "root")
-
-
 def drop_near_duplicates(
-    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shingle: int = 3, budget: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` with one row of each group of ``similar_groups``: the least id (null last), then
+    """``docs`` with one row of each group of ``near_duplicates``: the least id (null last), then
     the least hash of the text.  Null and empty texts are one group."""
-    found = stage(similar_groups(docs, shingle, similarity, id_col, text_col, exact=True), "simhash")
+    found = stage(near_duplicates(docs, shingle, budget, id_col, text_col), "simhash")
     last = F.lit((1 << 63) - 1)
     own = F.struct(F.coalesce("doc_id", last).alias("i"), F.col("text_key").alias("k"))
     # the root tells groups apart whose least ids are equal or null
