@@ -115,16 +115,15 @@ def candidates(docs: DataFrame, size: int, shards: int) -> DataFrame:
             value, at, aligned = value[single], at[single], aligned[single]
             shard = (value & np.uint64(0xFFFFFFFF)) % np.uint64(shards)
             own = (again & np.uint64(0xFFFFFFFF)) % np.uint64(shards)
-            order = np.argsort(shard, kind="stable")
-            cuts = np.searchsorted(shard[order], np.arange(shards + 1, dtype=np.uint64))
-            for s in range(shards):
-                mine = order[cuts[s] : cuts[s + 1]]
-                more = again[own == s]
-                if len(mine) or len(more):
-                    low, high = _u16(at[mine])
-                    tail = np.r_[value[mine], more] >> np.uint64(32)
-                    flags = np.packbits(aligned[mine]).tobytes()
-                    rows.append((s, flush, HITS, tail.astype(np.uint32).tobytes(), low, high, flags))
+            order, again = np.argsort(shard, kind="stable"), again[np.argsort(own, kind="stable")]
+            met = np.union1d(shard, own)
+            ends = [(np.searchsorted(x, met), np.searchsorted(x, met, "right")) for x in (shard[order], np.sort(own))]
+            for s, lo, hi, first, last in zip(met.tolist(), *ends[0], *ends[1]):
+                mine = order[lo:hi]
+                low, high = _u16(at[mine])
+                tail = np.r_[value[mine], again[first:last]] >> np.uint64(32)
+                flags = np.packbits(aligned[mine]).tobytes()
+                rows.append((s, flush, HITS, tail.astype(np.uint32).tobytes(), low, high, flags))
             yield pd.DataFrame(rows, columns=["shard", "flush", "kind", "a", "b", "c", "d"])
 
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
@@ -185,24 +184,24 @@ def candidates(docs: DataFrame, size: int, shards: int) -> DataFrame:
 
     columns = "kind tinyint, a binary, b binary, c binary"
     asked = docs.mapInPandas(ask, f"shard int, flush long, {columns}, d binary")
-    answers = asked.repartition(shards, "shard").groupBy("shard").applyInPandas(answer, f"flush long, {columns}")
+    answers = asked.repartitionById(shards, F.col("shard")).groupBy("shard").applyInPandas(answer, f"flush long, {columns}")
     found = answers.repartition(shards, "flush").groupBy("flush")
     # rows equal in id and text have equal spans
     return found.applyInPandas(spans, "doc_id long, text_key long, spans binary").dropDuplicates(["doc_id", "text_key"])
 
 
 def repeats(near: DataFrame, size: int, shards: int) -> DataFrame:
-    """``doc_id, text_key, at``: starts of the windows that start earlier elsewhere, for the
-    documents of ``near(doc_id, text_key, text, spans)``."""
+    """``doc_id, text_key, at``: starts of the windows that start earlier elsewhere, one row for
+    each document of ``near(doc_id, text_key, text, spans)`` that has any.
+
+    A shard judges the windows dealt to it and sends what goes to the homes of the documents,
+    packed in one row for each home; a home is a share of the documents by a hash of their ids."""
     block = size // 2
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        length = lambda b: b["text"].str.len().fillna(0).astype(int) * b["spans"].notna() + 1
+        length = lambda b: b["text"].str.len().fillna(0).astype(int) + 1
         for batch in flushes(batches, length, FLUSH_CHARS):
-            batch = batch[batch["spans"].notna()]
             h, sizes = _hashed(batch, size)
-            if len(h) < size:
-                continue
             starts = np.cumsum(sizes) - sizes
             pairs = [np.frombuffer(s, np.int32).reshape(-1, 2).astype(np.int64) for s in batch["spans"]]
             doc = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
@@ -215,30 +214,38 @@ def repeats(near: DataFrame, size: int, shards: int) -> DataFrame:
                 np.minimum(least, inside[k : k + len(least)], out=least)
             one, two = _rolling(h, size)[at], (_rolling(mix(h, h), size)[at] >> np.uint64(32)).astype(np.uint32)
             ids, keys = _ids(batch)[doc], batch["text_key"].to_numpy(np.int64)[doc]
-            shard = least[at] % np.uint64(shards)
-            pos = at - starts[doc]
-            yield from _first_of_each(shard, one, two, ids, keys, pos)
+            pos = (at - starts[doc]).astype(np.uint32)
+            lost = _later(one, two, ids, keys, pos)
+            # repeats within a flush are settled and go home; the first of each is judged
+            yield from _sent(JUDGED, least[at] % np.uint64(shards), one, two, ids, keys, pos, ~lost)
+            yield from _sent(SETTLED, _home(ids, keys, shards), one, two, ids, keys, pos, lost)
 
     def judge(rows: pd.DataFrame) -> pd.DataFrame:
-        col = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in rows[name]])
-        one, two, ids, keys, pos = (col(n, k) for n, k in _COLUMNS)
+        settled = rows[rows["kind"] == SETTLED]
+        open_ = rows[rows["kind"] == JUDGED]
+        if not len(open_):
+            return settled
+        one, two, ids, keys, pos = (np.concatenate([np.frombuffer(x, k) for x in open_[n]]) for n, k in _COLUMNS)
         lost = _later(one, two, ids, keys, pos)
-        parts = [(ids[lost], keys[lost], pos[lost])]
-        return _by_document(*(np.concatenate(x) for x in zip(*parts)))
+        return pd.concat([settled, *_sent(SETTLED, _home(ids, keys, shards), one, two, ids, keys, pos, lost)])
+
+    def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        return _by_document(*(np.concatenate([np.frombuffer(x, k) for x in rows[n]]) for n, k in _COLUMNS[2:]))
+
+    schema = "kind tinyint, shard int, one binary, two binary, ids binary, keys binary, pos binary"
+    judged = near.mapInPandas(ask, schema).repartitionById(shards, F.col("shard")).groupBy("shard").applyInPandas(judge, schema)
+    homes = judged.select("shard", "ids", "keys", "pos").repartitionById(shards, F.col("shard")).groupBy("shard")
+    return homes.applyInPandas(gather, "doc_id long, text_key long, at binary")
 
-    packed = near.mapInPandas(ask, "shard int, one binary, two binary, ids binary, keys binary, pos binary, lost boolean")
-    # repeats within a flush are settled there and only pass through
-    return packed.repartition(shards, "shard").groupBy("shard").applyInPandas(
-        lambda rows: pd.concat([
-            judge(rows[~rows["lost"]]) if (~rows["lost"]).any() else _by_document(*_NONE),
-            _settled(rows[rows["lost"]]),
-        ]),
-        "doc_id long, text_key long, at binary",
-    )
+
+JUDGED, SETTLED = 0, 1
+
+
+def _home(ids: np.ndarray, keys: np.ndarray, homes: int) -> np.ndarray:
+    return mix(ids.view(np.uint64), keys.view(np.uint64)) % np.uint64(homes)
 
 
 _COLUMNS = (("one", np.uint64), ("two", np.uint32), ("ids", np.int64), ("keys", np.int64), ("pos", np.uint32))
-_NONE = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32))
 
 
 def _later(one, two, ids, keys, pos) -> np.ndarray:
@@ -251,32 +258,28 @@ def _later(one, two, ids, keys, pos) -> np.ndarray:
     return lost
 
 
-def _first_of_each(shard, one, two, ids, keys, pos) -> Iterator[pd.DataFrame]:
-    """Rows for the shards: the first of equal windows of a flush to judge, the rest settled."""
-    lost = _later(one, two, ids, keys, pos)
-    order = np.lexsort((pos, keys, ids, lost, shard))
-    cut = runs(shard[order] * np.uint64(2) + lost[order])
-    rows = []
-    for part in np.split(order, cut[1:]) if len(order) else []:
-        gone = bool(lost[part[0]])
-        rows.append((
-            int(shard[part[0]]), b"" if gone else one[part].tobytes(), b"" if gone else two[part].tobytes(),
-            ids[part].tobytes(), keys[part].tobytes(), pos[part].astype(np.uint32).tobytes(), gone,
-        ))
-    yield pd.DataFrame(rows, columns=["shard", "one", "two", "ids", "keys", "pos", "lost"])
-
-
-def _settled(rows: pd.DataFrame) -> pd.DataFrame:
-    if not len(rows):
-        return _by_document(*_NONE)
-    return _by_document(*(np.concatenate([np.frombuffer(x, k) for x in rows[n]]) for n, k in _COLUMNS[2:]))
+def _sent(kind: int, shard, one, two, ids, keys, pos, which) -> Iterator[pd.DataFrame]:
+    """The windows of the mask ``which``, packed in one row for each shard; settled ones need no hashes."""
+    picked = np.flatnonzero(which)
+    if not len(picked):
+        return
+    picked = picked[np.lexsort((pos[picked], keys[picked], ids[picked], shard[picked]))]
+    parts = np.split(picked, runs(shard[picked])[1:])
+    told = kind == JUDGED
+    yield pd.DataFrame({
+        "kind": kind, "shard": [int(shard[p[0]]) for p in parts],
+        "one": [one[p].tobytes() if told else b"" for p in parts],
+        "two": [two[p].tobytes() if told else b"" for p in parts],
+        "ids": [ids[p].tobytes() for p in parts], "keys": [keys[p].tobytes() for p in parts],
+        "pos": [pos[p].tobytes() for p in parts],
+    })
 
 
 def _by_document(ids, keys, pos) -> pd.DataFrame:
     order = np.lexsort((pos, keys, ids))
     ids, keys, pos = ids[order], keys[order], pos[order]
-    first = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])]) if len(ids) else np.zeros(0, int)
-    parts = [p.astype(np.uint32).tobytes() for p in np.split(pos, first[1:])] if len(first) else []
+    first = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])])
+    parts = [p.tobytes() for p in np.split(pos, first[1:])]
     return pd.DataFrame({"doc_id": _named(ids[first]), "text_key": keys[first], "at": parts})
 
 
@@ -286,9 +289,8 @@ def kept_words(docs: DataFrame, result, schema: str, size: int = 20, id_col: str
     shards = parts_for(text_bytes(scan), SHARD_BYTES)
     spans = candidates(scan, size, shards)
     same = F.expr("d.doc_id <=> x.doc_id and d.text_key = x.text_key")
-    near = scan.alias("d").join(spans.alias("x"), same, "left").select("d.doc_id", "d.text_key", "d.text", "x.spans")
-    lost = repeats(near, size, shards).groupBy("doc_id", "text_key").agg(F.collect_list("at").alias("at"))
-    all_ = scan.alias("d").join(lost.alias("x"), same, "left").select("d.doc_id", "d.text_key", "d.text", "x.at")
+    near = scan.alias("d").join(spans.alias("x"), same).select("d.doc_id", "d.text_key", "d.text", "x.spans")
+    all_ = scan.alias("d").join(repeats(near, size, shards).alias("x"), same, "left").select("d.doc_id", "d.text_key", "d.text", "x.at")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -296,8 +298,8 @@ def kept_words(docs: DataFrame, result, schema: str, size: int = 20, id_col: str
             gone = []
             for own, at in zip(words, batch["at"]):
                 change = np.zeros(len(own) + size + 1, np.int64)
-                for packed in () if at is None else at:
-                    pos = np.frombuffer(packed, np.uint32).astype(np.int64)
+                if at is not None:
+                    pos = np.frombuffer(at, np.uint32).astype(np.int64)
                     np.add.at(change, pos, 1)
                     np.add.at(change, pos + size, -1)
                 gone.append(np.cumsum(change)[: len(own)] > 0)
