@@ -51,6 +51,7 @@ from .operators.snapshots import (
     snapshot_diff,
     transitions,
 )
+from .operators.neighbours import neighbours as nearest_by_pivots
 from .operators.vectors import nearest
 from .operators.works import collapse_works, drop_known, with_work_key
 from .plans.job import RunOptions, ingest, run

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed
 from .. import functions as fn
-from ..operators import catalog, changes, enrich, filters, normalize, profile, search
+from ..operators import catalog, changes, enrich, filters, neighbours, normalize, profile, search
 from ..operators import snapshots, vectors, works
 from ..session import stage, work_path
 from ..sources import explode_pages, newest_file, parse_volumes
@@ -792,6 +792,22 @@ def vector_topk(spark, sf_dir):
     return vectors.nearest(stored, centres, 3, query_column="label")
 
 
+@query(
+    """
+    SELECT query_id, vec_id, place FROM (
+      SELECT q.vec_id AS query_id, v.vec_id, CAST(row_number() OVER (
+        PARTITION BY q.vec_id
+        ORDER BY round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), 12) DESC, v.vec_id
+      ) AS INTEGER) AS place
+      FROM embeddings q, embeddings v) WHERE place <= 4
+    """
+)
+def vector_neighbours(spark, sf_dir):
+    """The four vectors nearest to every vector, itself among them."""
+    stored = table(spark, sf_dir, "embeddings")
+    return neighbours.neighbours(stored, stored.select(F.col("vec_id").alias("query_id"), "embedding"), 4)
+
+
 # --- merged sources, search, profiles ----------------------------------------------
 
 
