@@ -109,6 +109,13 @@ def test_old_files_read_with_new_columns(spark, tmp_path):
     assert r.title == "t" and r.content_hash is None
 
 
+def test_years_of_authors(spark):
+    given = [1834, "1834", 1834.0, None, 1834.5, "about 1834", [1834], -44]
+    got = rows(spark, *[{"id": i, "authors": ["Anon", {"name": "Q", "death_year": y}]} for i, y in enumerate(given)])
+    assert [r.sound for r in got] == [True, True, True, True, False, False, False, True]
+    assert [r.authors[1].death_year for r in got if r.sound] == [1834, 1834, 1834, None, -44]
+
+
 def test_flat_listing(spark):
     df = spark.createDataFrame([(json.dumps(BOOK),), ('{"id": 9}',)], "raw string")
     full, bare = normalize.flatten_listing(df).orderBy("id").collect()

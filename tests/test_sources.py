@@ -1,5 +1,6 @@
 """Readers: landed pages, volume files, the file index, shards and flat tables."""
 
+import csv
 import json
 
 from pyspark.sql import functions as F
@@ -86,6 +87,22 @@ def test_newest_file(spark, tmp_path):
     files = sources.read_file_index(spark, str(path))
     assert sources.newest_file(files, True).first().filename == "m8"
     assert sources.newest_file(files, False).first().filename == "d9"
+    (tmp_path / "two").mkdir()
+    for name in ("a.json", "b.json"):
+        (tmp_path / "two" / name).write_text(json.dumps(index[::-1], indent=1))
+    several = sources.read_file_index(spark, str(tmp_path / "two"))
+    assert sorted((r.position, r.filename) for r in several.collect()) == [(0, "d9")] * 2 + [(1, "m8")] * 2 + [(2, "m7")] * 2
+
+
+def test_exports_come_back_whole(spark, tmp_path):
+    texts = ['a "quoted" word', " blanks around ", "two\nlines", "a,b;c\td", "back\\slash \\", "", None, '"', "é 日本"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n long, text string").repartition(3)
+    catalog.export(df, str(tmp_path / "out"))
+    for name, back in catalog.read_export(spark, str(tmp_path / "out"), df.schema).items():
+        assert sorted(map(tuple, back.collect())) == list(enumerate(texts)), name
+    # another program reads the same
+    found = [r for p in (tmp_path / "out" / "csv").glob("part-*.csv") for r in csv.DictReader(p.open(newline=""))]
+    assert sorted((int(r["n"]), r["text"]) for r in found) == [(i, t or "") for i, t in enumerate(texts)]
 
 
 def record(spark, rows):

@@ -124,8 +124,29 @@ def manifest_summary(files: DataFrame) -> DataFrame:
     )
 
 
+#: Reading and writing exported CSV.  An empty text is quoted, a null is not.
+CSV_OPTIONS = {
+    "header": True, "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False, "nullValue": "", "emptyValue": '""',
+}
+
+
+def read_export(spark: SparkSession, base: str, schema) -> dict[str, DataFrame]:
+    """The three exports of ``export`` by format, with the columns of ``schema``."""
+    # a field without quotes reads as this sign, which is no character, and so differs from an empty text
+    unset = {"nullValue": "\uffff", "emptyValue": ""}
+    return {
+        "json": spark.read.schema(schema).json(f"{base}/json"),
+        "csv": spark.read.schema(schema).options(**CSV_OPTIONS | unset).csv(f"{base}/csv"),
+        "parquet": spark.read.schema(schema).parquet(f"{base}/parquet"),
+    }
+
+
 def export(df: DataFrame, base: str) -> None:
-    """The same rows as JSON lines, CSV with a header, and Parquet."""
+    """The same rows as JSON lines, CSV with a header, and Parquet.
+
+    CSV quotes as other programs do (a quote is doubled) and trims nothing, so texts with line
+    ends, quotes and outer blanks come back whole; see CSV_OPTIONS.  JSON keeps null fields out."""
     df.write.json(f"{base}/json")
-    df.write.option("header", True).csv(f"{base}/csv")
+    df.write.options(**CSV_OPTIONS).csv(f"{base}/csv")
     df.write.parquet(f"{base}/parquet")

@@ -71,10 +71,6 @@ def attach_text(
     )
 
 
-def still_missing(df: DataFrame, column: str = "searchable_text") -> DataFrame:
-    return df.where(F.coalesce(F.col(column), F.lit("")) == "")
-
-
 def pending(
     catalog: DataFrame, with_text: DataFrame, key: Sequence[str] = ("source_id",)
 ) -> DataFrame:

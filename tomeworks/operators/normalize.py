@@ -54,12 +54,14 @@ def _whole_or_absent(record: Column, path: str) -> Column:
 
 
 def _authors_sound(record: Column) -> Column:
-    """Every author is a bare name or an object whose name, if given, is a string."""
+    """Every author is a bare name or an object whose name, if given, is a string and whose years,
+    if given, are whole numbers."""
 
     def sound(author: Column) -> Column:
         name = variant_kind(F.try_variant_get(author, "$.name", "variant"))
         is_object = F.startswith(variant_kind(author), F.lit("OBJECT"))
-        return ~is_object | (F.coalesce(name, F.lit("STRING")) == "STRING")
+        years = _whole_or_absent(author, "$.birth_year") & _whole_or_absent(author, "$.death_year")
+        return ~is_object | ((F.coalesce(name, F.lit("STRING")) == "STRING") & years)
 
     authors = F.try_variant_get(record, "$.authors", "array<variant>")
     return F.coalesce(F.forall(authors, sound), F.lit(True))
@@ -74,8 +76,8 @@ def normalize_listing(
     """Raw JSON records to canonical records.
 
     Columns of ``raw`` other than ``raw`` itself are carried along, and ``sound`` tells
-    whether the record can be kept: it has an id, its texts are texts and its authors
-    have names.  Nothing is dropped here; see ``split_valid``.
+    whether the record can be kept: it has an id, its texts are texts, its authors
+    have names and their years are whole.  Nothing is dropped here; see ``split_valid``.
     """
     source = F.lit(source) if isinstance(source, str) else source
     run_ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)

@@ -1114,6 +1114,51 @@ def export_roundtrip(spark, sf_dir):
     )
 
 
+@query(
+    """
+    SELECT f.format, doc_id, lang, source, n_chars, sha256(text) AS text_hash, p.html, text IS NULL AS no_text
+    FROM documents LEFT JOIN (SELECT page_id, any_value('<' || chr(34) || substring(html, 1, 40) || chr(10) || ' ') AS html FROM pages GROUP BY 1) p
+      ON p.page_id = doc_id, (SELECT unnest(['json', 'csv', 'parquet']) AS format) f
+    """
+)
+def export_formats(spark, sf_dir):
+    """Every document with all its columns from each of the three exports, and a text with a quote,
+    a line end and an outer blank, or none."""
+    base = work_path(spark, "export")
+    pages = table(spark, sf_dir, "pages").groupBy(F.col("page_id").alias("doc_id")).agg(F.any_value("html").alias("html"))
+    hard = F.concat(F.lit('<"'), F.substring("html", 1, 40), F.lit("\n "))
+    rows = table(spark, sf_dir, "documents").join(pages.withColumn("html", hard), "doc_id", "left")
+    rows = rows.select("doc_id", "lang", "source", "n_chars", "text", "html")
+    catalog.export(rows, base)
+    back = [df.withColumn("format", F.lit(name)) for name, df in catalog.read_export(spark, base, rows.schema).items()]
+    whole = back[0].unionByName(back[1]).unionByName(back[2])
+    return whole.select(
+        "format", "doc_id", "lang", "source", "n_chars", F.sha2("text", 256).alias("text_hash"), "html",
+        F.col("text").isNull().alias("no_text"),
+    )
+
+
+@query(
+    """
+    SELECT CAST(doc_id AS VARCHAR) AS source_id, lang <> 'de' AS sound, CASE WHEN lang <> 'de' THEN n_chars END AS birth_year
+    FROM documents
+    """
+)
+def author_years(spark, sf_dir):
+    """Years of authors given as whole numbers, as texts of them and with a zero fraction; a record
+    with a part of a year is not sound."""
+    n = F.col("n_chars").cast("string")
+    year = (
+        F.when(F.col("lang") == "de", F.concat(n, F.lit(".5"))).when(F.col("lang") == "es", F.concat(F.lit('"'), n, F.lit('"')))
+        .when(F.col("lang") == "fr", F.concat(n, F.lit(".0"))).otherwise(n)
+    )
+    raw = F.concat(F.lit('{"id":'), F.col("doc_id"), F.lit(',"authors":[{"name":"A","birth_year":'), year, F.lit("}]}"))
+    found = normalize.normalize_listing(table(spark, sf_dir, "documents").select(raw.alias("raw")), F.current_timestamp())
+    return found.select(
+        "source_id", "sound", F.when(F.col("sound"), F.col("authors")[0]["birth_year"].cast("bigint")).alias("birth_year")
+    )
+
+
 @query(
     """
     SELECT user_id, event_id, event_type, value FROM (

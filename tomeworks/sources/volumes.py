@@ -57,9 +57,11 @@ def read_volumes_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_file_index(spark: SparkSession, path: str) -> DataFrame:
-    """The entries of an index file with their ``position`` in it."""
-    index = spark.read.schema(INDEX).option("multiLine", True).json(path)
-    return index.withColumn("position", F.monotonically_increasing_id())
+    """The entries of each index file under ``path`` with their ``position`` in it.  A file that
+    is no JSON list gives no rows."""
+    whole = spark.read.text(path, wholetext=True)
+    entries = F.from_json("value", T.ArrayType(INDEX))
+    return whole.select(F.posexplode(entries).alias("position", "entry")).select("entry.*", "position")
 
 
 def newest_file(index: DataFrame, full: bool, tie: str | None = None) -> DataFrame:
