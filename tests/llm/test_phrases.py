@@ -107,3 +107,21 @@ def test_a_text_cut_into_chunks_keeps_its_pieces_whole():
     words = [w for c in chunks for w in c]
     assert [w for w in words if w != phrases.CUT] == text.replace(".", " ").encode().split() + [b"last", b"one"]
     assert words.count(phrases.CUT) == 50  # the two texts are in chunks of their own
+
+
+def test_a_phrase_whose_word_was_not_proposed_before_is_still_to_be_counted():
+    """The first filter takes "a b" for a proposal by mistake, so no earlier pass has reached "a b c"."""
+
+    class Given:
+        def __init__(self, found):
+            self.has = lambda h: phrases.np.isin(h, found)
+
+    words = [b"a", b"b", b"c", b"d"]
+    whole = Given(phrases.np.arange(0))
+    whole.has = lambda h: phrases.np.ones(len(h), bool)
+    levels = {level.n: level for level, _ in phrases.walk("en", words, [whole], None)}
+    first = lambda n, *names: levels[n].h[[list(levels[n].texts(phrases.np.arange(len(levels[n].h)))).index(x) for x in names]]
+    before = Given(phrases.np.r_[first(1, "b", "c", "d"), first(2, "a b", "b c", "c d"), first(3, "b c d")])
+    now = Given(first(1, "a"))
+    again = {t for level, at in phrases.walk("en", words, [before, now], 1) for t in level.texts(at)}
+    assert again == {"a b", "a b c"}

@@ -171,7 +171,8 @@ def walk(lang: str, words: list[bytes], filters: list[Filter], before: int | Non
         units = np.zeros(len(left), np.int64)
         units[at] = inverse + 1
         one, two, end = (np.r_[0, x[at[first]]] for x in (left, right, last))
-        counted_before = earlier[one] & earlier[two]
+        # a filter may take a phrase for a proposal whose own parts were not proposed then
+        counted_before = counted_before[one] & counted_before[two] & earlier[one] & earlier[two]
         level = Level(level.n + 1, mix(level.h[one], own[end]), np.r_[0, np.bincount(inverse)], level, one, end, shown)
 
 
