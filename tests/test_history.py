@@ -150,3 +150,19 @@ def test_only_slots_of_the_candidates_are_read(spark, tmp_path):
     assert [r.uid for r in found.collect()] == ["217"]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [(slot" in plan.replace("isnotnull(slot", "(slot").replace("[slot", "[(slot")
+
+
+def test_postings_are_gathered_by_gram_and_repeated_ids_count_once(spark, tmp_path):
+    base, text = str(tmp_path / "i"), "a😀bc" * 50_000
+    rows = [(str(i % 40), "many words 😀x", "", "", "", "x") for i in range(80)] + [("long", text, None, "", "", "x"), ("none", None, None, None, None, "x")]
+    search_index.add_to_index(books(spark, rows).coalesce(1), base)
+    (place,) = search_index._places(spark, base)
+    kept = spark.read.parquet(f"{place}/postings")
+    held = {(r.gram, u) for r in kept.collect() for u in r.uids}
+    expected = {(b[i : i + 3], u) for u, t, a, *_ in rows for b in [f"{t or ''} {a or ''}  "] for i in range(len(b) - 2)}
+    assert held == expected
+    shares = kept.groupBy("gram").count().agg({"count": "max"}).first()[0]
+    assert shares <= 40  # a row for each share of the texts, not for each record
+    assert kept.selectExpr("sum(size(uids))").first()[0] == len(expected)
+    for q, ids in (("c" + text[:9], {"long"}), ("S 😀X", {str(i) for i in range(40)})):
+        assert {r.uid for r in search_index.search_index(spark, base, q).collect()} == ids

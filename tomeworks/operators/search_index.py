@@ -1,10 +1,10 @@
 """A search index: which records hold which three signs in a row.
 
-Rows (gram, uid) are kept in Parquet, partitioned by a hash of the gram, one batch for each
-run; beside them the searched text of every record, partitioned by a hash of its id, and how many records
-hold each gram.  A search reads the slots of its rarest grams, intersects their rows, and verifies what is
-left against the texts of those records alone.  A query shorter than a gram has no rows to
-intersect and scans the texts.
+Rows (gram, uids) are kept in Parquet, partitioned by a hash of the gram, one batch for each
+run: a bounded share of the texts gives one row for each of its grams.  Beside them lie the searched
+text of every record, partitioned by a hash of its id, and how many records hold each gram.  A search reads
+the slots of its rarest grams, intersects their rows, and verifies what is left against the texts of
+those records alone.  A query shorter than a gram has no rows to intersect and scans the texts.
 
 Batches only add.  A record that is indexed again is found by its newest text: older rows
 may propose it, but the text decides.  ``merge_index`` writes all batches as one and drops the rows of
@@ -14,8 +14,10 @@ older texts.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import search_blob
@@ -27,8 +29,10 @@ GRAM = 3
 SLOTS = 64
 # Grams of a query that are intersected, the rarest first, and candidates whose ids are pushed to the scan.
 GRAMS_READ, IDS_PUSHED = 4, 1000
+# Signs of texts whose grams are gathered at once.
+GATHER_SIGNS = 4_000_000
 _TEXTS = "uid string, batch long, source string, blob string, slot int"
-_POSTINGS = "gram string, uid string, batch long, slot int"
+_POSTINGS = "gram string, uids array<string>, batch long, slot int"
 _COUNTS = "gram string, records long, batch long"
 _BATCHES = "batch long, place string, replaces array<long>"
 
@@ -37,11 +41,50 @@ def _slot(c: str | Column) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
 
 
-def grams(blob: Column) -> Column:
-    """The distinct runs of GRAM signs of a text."""
-    starts = F.sequence(F.lit(1), F.length(blob) - (GRAM - 1))
-    runs = F.transform(starts, lambda i: F.substr(blob, i, F.lit(GRAM)))
-    return F.when(F.length(blob) >= GRAM, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+def grams(text: str) -> np.ndarray:
+    """The distinct runs of GRAM signs of a text, each as a number of 21 bits a sign."""
+    signs = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+    runs = np.zeros(max(0, len(signs) - (GRAM - 1)), np.int64)
+    for k in range(GRAM):
+        runs = runs << 21 | signs[k : k + len(runs)]
+    return np.unique(runs)
+
+
+def _gram_text(number: int) -> str:
+    return "".join(chr(number >> 21 * k & 0x1FFFFF) for k in reversed(range(GRAM)))
+
+
+def _gathered(uids: list[str], found: list[np.ndarray]) -> pa.RecordBatch:
+    """``gram, uids``: a row for each gram of some texts, each id once in it."""
+    names, own = np.unique(np.array(uids, object), return_inverse=True)
+    number, at = np.concatenate(found), np.repeat(own, [len(x) for x in found])
+    order = np.lexsort((at, number))
+    number, at = number[order], at[order]
+    first = np.ones(len(number), bool)
+    first[1:] = (number[1:] != number[:-1]) | (at[1:] != at[:-1])  # an id may have several texts
+    number, at = number[first], at[first]
+    starts = np.flatnonzero(np.r_[len(number) > 0, number[1:] != number[:-1]])
+    return pa.RecordBatch.from_arrays([
+        pa.array([_gram_text(n) for n in number[starts].tolist()], pa.string()),
+        pa.ListArray.from_arrays(
+            pa.array(np.r_[starts, len(number)], pa.int32()), pa.array(names, pa.string()).take(pa.array(at))
+        ),
+    ], names=["gram", "uids"])
+
+
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    uids, found, signs = [], [], 0
+    for batch in batches:
+        for uid, blob in zip(batch.column("uid"), batch.column("blob")):
+            text = blob.as_py()
+            if uids and signs + len(text) > GATHER_SIGNS:
+                yield _gathered(uids, found)
+                uids, found, signs = [], [], 0
+            uids.append(uid.as_py())
+            found.append(grams(text))
+            signs += len(text)
+    if uids:
+        yield _gathered(uids, found)
 
 
 def _batches(spark: SparkSession, base: str) -> DataFrame:
@@ -81,12 +124,11 @@ def _write(texts: DataFrame, base: str, batch: int, replaces: list[int]) -> None
     stored = texts.select("uid", "batch", "source", "blob", _slot("uid").alias("slot"))
     stored.repartition("slot").sortWithinPartitions("slot", "uid").write.partitionBy("slot").parquet(f"{place}/texts")
     texts = spark.read.schema(_TEXTS).parquet(f"{place}/texts")
-    rows = texts.select(F.explode(grams(F.col("blob"))).alias("gram"), "uid", "batch").distinct()
-    rows = rows.withColumn("slot", _slot("gram"))
-    # a gram that most records hold is cut into ranges of its ids
-    dealt = rows.repartitionByRange("slot", "gram", "uid").sortWithinPartitions("slot", "gram", "uid")
-    dealt.write.partitionBy("slot").parquet(f"{place}/postings")
-    counted = spark.read.schema(_POSTINGS).parquet(f"{place}/postings").groupBy("gram").agg(F.count(F.lit(1)).alias("records"))
+    rows = texts.select("uid", "blob").mapInArrow(_postings, "gram string, uids array<string>")
+    rows = rows.select("gram", "uids", F.lit(batch).cast("long").alias("batch"), _slot("gram").alias("slot"))
+    rows.repartition("slot").sortWithinPartitions("slot", "gram").write.partitionBy("slot").parquet(f"{place}/postings")
+    kept = spark.read.schema(_POSTINGS).parquet(f"{place}/postings")
+    counted = kept.groupBy("gram").agg(F.sum(F.size("uids")).cast("long").alias("records"))
     counted.withColumn("batch", F.lit(batch).cast("long")).sort("gram").write.parquet(f"{place}/counts")
     row = spark.createDataFrame([(batch, place, replaces)], _BATCHES)
     row.coalesce(1).write.mode("append").parquet(f"{base}/batches")
@@ -114,7 +156,8 @@ def _candidates(spark: SparkSession, base: str, query: str) -> DataFrame:
     read = [r.gram for r in rare[:GRAMS_READ]]
     slots = [r[0] for r in spark.createDataFrame([(g,) for g in read], "gram string").select(_slot("gram")).distinct().collect()]
     rows = _read(spark, base, "postings", _POSTINGS).where(F.col("slot").isin(slots) & F.col("gram").isin(read))
-    per_text = rows.groupBy("uid", "batch").agg(F.count_distinct("gram").alias("n")).where(F.col("n") == len(read))
+    held = rows.select("gram", "batch", F.explode("uids").alias("uid"))
+    per_text = held.groupBy("uid", "batch").agg(F.count_distinct("gram").alias("n")).where(F.col("n") == len(read))
     return per_text.select("uid").distinct()
 
 
@@ -131,6 +174,7 @@ def search_index(spark: SparkSession, base: str, query: str, source: str = "all"
             texts = texts.where(F.col("slot").isin(sorted(slots)) & F.col("uid").isin([r.uid for r in few]))
         else:
             texts = texts.join(broadcast_if_small(found), "uid", "left_semi")
-    newest = latest_wins(texts, ["uid"], ["batch"])
-    hit = newest.where(F.contains("blob", F.lit(query)))
+    # whether a text is hit is known before the newest is sought, so no text is shuffled
+    judged = texts.select("uid", "batch", "source", F.contains("blob", F.lit(query)).alias("hit"))
+    hit = latest_wins(judged, ["uid"], ["batch"]).where("hit")
     return (hit if source == "all" else hit.where(F.col("source") == source)).select("uid")
