@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from tomeworks.llm import pii
 
 PATTERNS = {
@@ -68,3 +70,17 @@ def test_learned_spans(table):
     spans = {r.doc_id: r.spans for r in pii.report(docs).collect()}
     assert "phone:" in spans[5000]
     assert all(not spans[1000 + i] for i in range(600))
+
+
+def test_trees_and_threshold_come_from_all_candidates(spark, monkeypatch):
+    n = F.col("id").cast("string")
+    docs = spark.range(21_000).select(
+        F.col("id").alias("doc_id"), F.xxhash64("id").alias("text_key"),
+        F.concat_ws(" or ", F.concat(F.lit("call +1 555 "), F.lpad(n, 7, "0")), F.when(F.col("id") % 7 == 0, F.concat(F.lit("555 123 "), F.lpad(n, 5, "0")))).alias("text"),
+    )
+    spans, learned, grow = pii.marked(pii.candidates(docs)), [], pii._boosted
+    monkeypatch.setattr(pii, "_boosted", lambda rows, *more: learned.append(rows.count()) or grow(rows, *more))
+    model = pii.fit(spans, trees=1, depth=1)
+    whole, *halves = learned
+    assert whole == spans.count() > 20_000 and sum(halves) == whole
+    assert model.threshold is not None

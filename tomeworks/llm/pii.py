@@ -4,11 +4,11 @@ Generators propose spans: one for each base kind (email, ip, card, phone), and l
 (phones without a plus, emails with a spelled-out sign) that may overlap them.  Base spans
 that pass their checks always stay.  All other candidates are judged by boosted trees
 (``pyspark.ml``) over features of format (lengths, digits, groups, separators, Luhn) and
-context (the words before and after).  The trees learn from a bounded sample of candidates;
-a candidate counts as positive there if it lies in a checked base span, with the parts that
-would give the rule away (the plus and the country code) cut off.  The threshold is the least
-score from which the precision on the part of the sample held back is ``precision``; without
-such a score nothing is added.  The trees are written out as SQL expressions, so scoring is
+context (the words before and after).  The trees learn from all candidates; a candidate counts
+as positive there if it lies in a checked base span, with the parts that would give the rule
+away (the plus and the country code) cut off.  For the threshold every candidate is scored by
+trees that learned from the other half of the documents: it is the least score from which the
+precision is ``precision``; without such a score nothing is added.  The trees are written out as SQL expressions, so scoring is
 part of the scan's plan.  A span that overlaps a base span is not added.
 
 Positions: a text is split by a generator's pattern, so the lengths of gaps and matches add up
@@ -21,11 +21,11 @@ and all get its result; a text of any length is searched whole.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import stage
+from .common import parts_for, stage
 
 KINDS = ("email", "ip", "card", "phone")
 # Possessive forms of the base patterns.
@@ -48,8 +48,8 @@ HINT = {
 CONTEXT = r"(?i)\b(?:tel|phone|call|fax|mobile|contact|mail|e-mail|email|reach|write|card|pay|visa|ip|host|server)\b"
 # Digits without which a number is no candidate of the trees.
 LEAST_DIGITS = 8
-# Candidates that the trees learn from, in expectation.
-FIT_ROWS = 20_000
+# Candidates of a task that grows trees.
+TASK_ROWS = 50_000
 
 
 def digits(span: Column) -> Column:
@@ -133,7 +133,6 @@ class Model:
 
     margin: str = "0D"
     threshold: float | None = None
-    names: list[str] = field(default_factory=list)
 
     def score(self) -> Column:
         return 1 / (1 + F.exp(-2 * F.expr(self.margin)))
@@ -147,31 +146,38 @@ def _as_sql(node, names: list[str]) -> str:
     return f"if({names[split.featureIndex()]} <= {split.threshold()!r}D, {left}, {right})"
 
 
-def fit(spans: DataFrame, trees: int = 8, depth: int = 3, fit_rows: int = FIT_ROWS, precision: float = 0.99) -> Model:
-    """Trees and threshold from about ``fit_rows`` of the candidates; a tenth of the sample, by
-    document, is held back for the threshold."""
+def _boosted(rows: DataFrame, total: int, trees: int, depth: int) -> str:
+    """The margin of trees grown on all ``rows``; Spark itself chooses where a feature may be cut."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
     names = [f"f_{n}" for n in FEATURES]
-    total = spans.count()
-    place = F.pmod(F.xxhash64("doc_id", "text_key", "gen", "start"), F.lit(1_000_003)) / 1_000_003
-    label = (F.col("base") | F.col("inside")).cast("double")
-    sample = stage(
-        featured(spans.filter(place < min(1.0, fit_rows / max(1, total)))).withColumn("label", label)
-        .withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0).select("label", "held", *names), "pii",
-    )
-    counts = {r[0]: r[1] for r in sample.filter("not held").groupBy("label").count().collect()}
-    if len(counts) < 2:
-        return Model()
-    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(sample.filter("not held").coalesce(2))
+    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(rows.coalesce(parts_for(total, TASK_ROWS, 2)))
     found = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, maxBins=32, checkpointInterval=-1).fit(vectors)
-    margin = " + ".join(
+    return " + ".join(
         f"{w!r}D * {_as_sql(t._call_java('rootNode'), names)}" for t, w in zip(found.trees, found.treeWeights)
     )
-    model = Model(margin, None, names)
+
+
+def fit(spans: DataFrame, trees: int = 8, depth: int = 3, precision: float = 0.99) -> Model:
+    """Trees from all candidates, and the threshold from the scores that each half of them, by
+    document, has from trees of the other half."""
+    label = (F.col("base") | F.col("inside")).cast("double")
+    rows = stage(
+        featured(spans).withColumn("label", label).withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2)))
+        .select("label", "half", *[f"f_{n}" for n in FEATURES]), "pii",
+    )
+    counts = {(r[0], r[1]): r[2] for r in rows.groupBy("half", "label").count().collect()}  # four rows at most
+    total = sum(counts.values())
+    if len({label for _, label in counts}) < 2:
+        return Model()
+    model = Model(_boosted(rows, total, trees, depth))
+    if len(counts) < 4:  # a half knows one label only
+        return model
+    other = [Model(_boosted(rows.filter(F.col("half") != h), total, trees, depth)) for h in (0, 1)]
+    score = F.when(F.col("half") == 0, other[0].score()).otherwise(other[1].score())
     bins = (
-        sample.filter("held").groupBy(F.floor(model.score() * 200).alias("bin"))
+        rows.groupBy(F.floor(score * 200).alias("bin"))
         .agg(F.sum("label").alias("good"), F.count("*").alias("n")).orderBy(F.desc("bin")).collect()
     )  # 201 rows at most
     good = seen = 0
