@@ -90,3 +90,16 @@ def test_vectors_of_another_length(spark):
     df, queries = frames(spark, [(1, [1.0, 2.0]), (2, [1.0])], [("a", [1.0, 2.0])], 1)
     with pytest.raises(Exception, match="a vector is not of length"):
         nb.neighbours(df.orderBy(F.size("embedding").desc()), queries, 1).collect()
+
+
+def test_blocks_grow_with_the_table(spark, monkeypatch):
+    """A table of many blocks has a bounded number of them, and so are the copies that pairs need."""
+    monkeypatch.setattr(nb, "BLOCK_BYTES", 8 * 6 * 4)
+    monkeypatch.setattr(nb, "SCORES_AT_ONCE", 100)
+    data = clusters(np.random.default_rng(8), 40, 50)
+    df, queries = frames(spark, data, [(f"q{i}", v) for i, v in data[::40]])
+    numbers, whole = [], nb._bounds
+    monkeypatch.setattr(nb, "_bounds", lambda g, b: numbers.append(b.count()) or whole(g, b))
+    asked = [(f"q{i}", v) for i, v in data[::40]]
+    assert sorted(map(tuple, nb.neighbours(df, queries, 5).collect())) == by_hand(data, asked, 5)
+    assert numbers[0] <= nb.BLOCKS + nb.PIVOTS + 1 + nb.BLOCKS // nb.PACKED_BLOCKS + 1  # 500 blocks of BLOCK_BYTES

@@ -11,6 +11,10 @@ angles to a pivot bound the angle of a pair from both sides:
    best score so far is the least score that a vector must reach.
 4. Of the other blocks only those are scored whose lower bound does not exceed that angle.
 
+A pair of blocks takes the queries of one to the vectors of the other, so the bytes that are moved
+are those of the table times its blocks: blocks grow with the table as far as a task can hold
+some, and only beyond that does their number grow.
+
 How much is pruned follows from the data: vectors in clusters are, evenly spread directions of many
 dimensions hardly so.  The list of block pairs has one narrow row each; blocks meet by joins.
 
@@ -33,10 +37,13 @@ from ..session import stage
 
 PIVOTS = 32
 SEEDS = 4
-# Bytes of the vectors of a block.
-BLOCK_BYTES = 256 * 1024
-# Blocks that a task packs.
-BLOCKS_PER_TASK = 16
+# Bytes of the vectors of a block, at least and at most; between them a table makes BLOCKS blocks.
+BLOCK_BYTES, LARGEST_BYTES = 256 * 1024, 4 << 20
+BLOCKS = 48
+# Blocks that a task packs at most, and at least if its vectors are more than the bytes.
+BLOCKS_PER_TASK, PACKED_BLOCKS, PACKED_BYTES = 16, 4, 4 << 20
+# Scores of a pair of blocks that a task holds at once.
+SCORES_AT_ONCE = 2_000_000
 DIGITS = 12
 # More than the rounding of an angle can be.
 _SLACK = 1e-5
@@ -121,7 +128,6 @@ def _blocks(rows: DataFrame, pivots: np.ndarray, dims: int) -> DataFrame:
     """``b, cell, low, high, n, ids, data, to_low, to_high``: blocks of vectors of one cell by their
     angle to its pivot, with the least and largest angle to every pivot.  Zero vectors, which have
     no direction, are in a cell of their own behind the last, a right angle away from all."""
-    most = max(1, BLOCK_BYTES // (8 * dims))
     kind = rows.schema["id"].dataType.simpleString()
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,7 +175,11 @@ def _blocks(rows: DataFrame, pivots: np.ndarray, dims: int) -> DataFrame:
 
     rows = rows.mapInPandas(place, f"id {kind}, unit binary, cell int, angle double")
     rows = stage(rows, "neighbours")
-    parts = max(1, -(-rows.count() // (BLOCKS_PER_TASK * most)))
+    found = rows.count()
+    block_bytes = max(BLOCK_BYTES, min(LARGEST_BYTES, 8 * dims * found // BLOCKS))
+    most = max(1, block_bytes // (8 * dims))
+    per_task = min(BLOCKS_PER_TASK, max(PACKED_BLOCKS, PACKED_BYTES // block_bytes))
+    parts = max(1, -(-found // (per_task * most)))
     order = ["cell", "angle", "id"]
     dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     return stage(
@@ -203,16 +213,19 @@ def _scored(pairs: DataFrame, groups: DataFrame, blocks: DataFrame, k: int) -> D
         for batch in batches:
             for r in batch.itertuples(index=False):
                 queries = np.frombuffer(r.queries, float).reshape(r.n, -1)
-                score = np.round(queries @ np.frombuffer(r.data, float).reshape(len(r.ids), -1).T, DIGITS)
-                # ids ascend in a block, so equal scores stay in their order
-                top = np.argsort(-score, axis=1, kind="stable")[:, :k]
-                score = np.take_along_axis(score, top, axis=1)
+                data = np.frombuffer(r.data, float).reshape(len(r.ids), -1).T
                 floor = np.full(r.n, -np.inf)
                 for i, least in (r.floors or {}).items():
                     floor[i] = least
-                i, place = np.nonzero(score >= floor[:, None])
-                ids = [r.ids[x] for x in top[i, place]]
-                yield pd.DataFrame({"g": np.full(len(i), r.g), "i": i, "id": ids, "score": score[i, place]})
+                step = max(1, SCORES_AT_ONCE // len(r.ids))
+                for lo in range(0, r.n, step):
+                    score = np.round(queries[lo : lo + step] @ data, DIGITS)
+                    # ids ascend in a block, so equal scores stay in their order
+                    top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                    score = np.take_along_axis(score, top, axis=1)
+                    i, place = np.nonzero(score >= floor[lo : lo + step, None])
+                    ids = [r.ids[x] for x in top[i, place]]
+                    yield pd.DataFrame({"g": np.full(len(i), r.g), "i": i + lo, "id": ids, "score": score[i, place]})
 
     return both.mapInPandas(best, f"g long, i int, id {kind}, score double")
 
