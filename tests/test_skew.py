@@ -96,3 +96,14 @@ def test_resumed_page_lets_one_more_through(spark):
     over = changes.cap_pages(rows, 2, resumed_page=3, match_resume_overshoot=True).first().cut_page
     later = changes.cap_pages(rows, 3, resumed_page=3, match_resume_overshoot=True).first().cut_page
     assert (plain, over, later) == (3, 4, 4)
+
+
+def test_windows_over_many_rows_have_tasks_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 100)
+    df = spark.range(5000).selectExpr("id % 700 key", "id at", "id value")
+    for out in (
+        skew.with_previous(df, ["key"], ["at"], F.col("value")), skew.carry_forward(df, ["key"], ["at"], F.col("value")),
+    ):
+        sizes = out.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 400  # of 5000 in 8 partitions: 625 and more
+        assert out.count() == 5000

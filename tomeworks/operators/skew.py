@@ -16,6 +16,8 @@ from ..session import broadcast_if_small, stage
 
 HOT_ROWS = 5_000_000
 HOT_KEYS = 10_000
+# Rows that a task sorts for a window or a join.
+TASK_ROWS = 250_000
 SALTS = 256
 # Spark's own bound for limiting a ranked window before its shuffle
 # (spark.sql.optimizer.windowGroupLimitThreshold).
@@ -80,6 +82,22 @@ def salted_join(
     return salted_left.join(salted_right, [*key, "salt"], how).drop("salt")
 
 
+def dealt(df: DataFrame, key: Sequence[str], rows: int) -> DataFrame:
+    """``df`` dealt by ``key`` to so many tasks that each has about TASK_ROWS of ``rows`` at most.
+
+    A named number of tasks, which Spark does not merge into fewer; a table that one task can
+    hold is left to the planner.
+    """
+    return df if rows <= TASK_ROWS else df.repartition(_pieces(df, rows), *key)
+
+
+def _sizes(df: DataFrame, key: Sequence[str]) -> tuple[int, int]:
+    """All rows, and those of the most frequent key."""
+    counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("key_rows"))
+    rows, most = counted.agg(F.sum("key_rows"), F.max("key_rows")).first()
+    return rows or 0, most or 0
+
+
 def range_pieces(df: DataFrame, columns: Sequence[Column], pieces: int | None = None) -> DataFrame:
     """``df`` cut into even ranges of ``columns``, numbered in order by ``piece``.
 
@@ -92,6 +110,10 @@ def range_pieces(df: DataFrame, columns: Sequence[Column], pieces: int | None =
     return stage(ranged.withColumn("piece", F.spark_partition_id()), "ranges")
 
 
+def _pieces(df: DataFrame, rows: int) -> int:
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
+
+
 def with_previous(
     df: DataFrame,
     key: Sequence[str],
@@ -110,17 +132,17 @@ def with_previous(
     key, order = list(key), list(order)
     df = df.withColumn("look_back", value)
     by_key = Window.partitionBy(*key).orderBy(*order)
-    plain = df.withColumn(name, F.lag("look_back").over(by_key)).drop("look_back")
-    hot = hot_keys(df, key, min_rows)
-    if hot.isEmpty():
-        return plain
+    rows, most = _sizes(df, key)
+    if most <= min_rows:
+        return dealt(df, key, rows).withColumn(name, F.lag("look_back").over(by_key)).drop("look_back")
 
+    hot = hot_keys(df, key, min_rows)
     marked = F.broadcast(hot.select(*[F.col(k).alias(f"hot_{k}") for k in key]))
     matches = _same_key(df, marked, key, "hot_")
-    cold = df.join(marked, matches, "left_anti")
+    cold = dealt(df.join(marked, matches, "left_anti"), key, rows)
     cold = cold.withColumn(name, F.lag("look_back").over(by_key))
 
-    pieces = range_pieces(df.join(marked, matches, "left_semi"), [*key, *order])
+    pieces = range_pieces(df.join(marked, matches, "left_semi"), [*key, *order], _pieces(df, rows))
     in_piece = Window.partitionBy(*key, "piece").orderBy(*order)
     inner = pieces.withColumn(name, F.lag("look_back").over(in_piece)).withColumn(
         "is_first", F.row_number().over(in_piece) == 1
@@ -131,7 +153,7 @@ def with_previous(
     handed = last.withColumn(
         "handed", F.lag("last").over(Window.partitionBy(*key).orderBy("piece"))
     ).drop("last")
-    # One row per range plus one per hot key: bounded by shuffle partitions and HOT_KEYS.
+    # One row per range plus one per hot key: bounded by the pieces and HOT_KEYS.
     handed = F.broadcast(
         handed.select(*[F.col(c).alias(f"at_{c}") for c in [*key, "piece"]], "handed")
     )
@@ -156,14 +178,15 @@ def carry_forward(
     df = df.withColumn("look_back", value)
     upto = lambda *by: Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     last = F.last("look_back", ignorenulls=True)
-    hot = hot_keys(df, key, min_rows)
-    if hot.isEmpty():
-        return df.withColumn(name, last.over(upto(*key))).drop("look_back")
+    rows, most = _sizes(df, key)
+    if most <= min_rows:
+        return dealt(df, key, rows).withColumn(name, last.over(upto(*key))).drop("look_back")
 
+    hot = hot_keys(df, key, min_rows)
     marked = F.broadcast(hot.select(*[F.col(k).alias(f"hot_{k}") for k in key]))
     matches = _same_key(df, marked, key, "hot_")
-    cold = df.join(marked, matches, "left_anti").withColumn(name, last.over(upto(*key)))
-    pieces = range_pieces(df.join(marked, matches, "left_semi"), [*key, *order])
+    cold = dealt(df.join(marked, matches, "left_anti"), key, rows).withColumn(name, last.over(upto(*key)))
+    pieces = range_pieces(df.join(marked, matches, "left_semi"), [*key, *order], _pieces(df, rows))
     inner = pieces.withColumn(name, last.over(upto(*key, "piece")))
     known = F.col("look_back").isNotNull()
     ends = pieces.groupBy(*key, "piece").agg(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed
 from ..operators import fields, history, search_index, works
+from ..operators.skew import dealt
 from ..session import stage, work_path
 from ..streaming.snapshots import append_deltas, current_snapshot, mark_removed, rebaseline, versions
 from .registry import query, table
@@ -216,7 +217,8 @@ def rights_as_of(spark, sf_dir):
     """The rights that a volume had when each of its lines was shipped."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
-    asked = lines.join(orders, "l_orderkey")
+    rows = lines.count() + orders.count()
+    asked = dealt(lines, ["l_orderkey"], rows).join(dealt(orders, ["l_orderkey"], rows), "l_orderkey")
     return history.value_at(asked, _rights_history(spark, sf_dir), "o_custkey", "l_shipdate", "rights")
 
 
