@@ -2,6 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +87,22 @@ def test_the_query_uses_two_words_of_context(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
     want = by_hand([r.text for r in rows if not got[r.doc_id].held_out], [r.text for r in rows], 3)
     assert all(abs(got[r.doc_id].score - w[3]) < 1e-6 for r, w in zip(rows, want))
+
+
+@pytest.mark.parametrize("level, top", [(1, 1), (1, 3), (2, 3), (3, 3)])
+def test_packed_ngrams_come_back_and_are_small(level, top):
+    rng = np.random.default_rng(level)
+    vocabulary = rng.integers(0, 1 << 63, 3000).astype(np.uint64) * np.uint64(2)
+    columns = [vocabulary[rng.zipf(1.3, 40_000) % 3000] for _ in range(level)]
+    count, raw = rng.integers(1, 9, 40_000).astype(np.uint64), rng.integers(1, 1 << 40, 40_000).astype(np.uint64)
+    shard = columns[-1] % np.uint64(3)
+    rows = list(perplexity._pack(level, top, shard, columns[:-1], columns[-1], count, raw))
+    got, want = set(), {}
+    for s in {r[0] for r in rows}:
+        before, *rest = perplexity._unpack(pd.DataFrame([r for r in rows if r[0] == s], columns=perplexity._COLUMNS), level, top)
+        got |= {(s, *x) for x in zip(*(c.tolist() for c in (*before, *rest)))}
+    last = raw if level < top else count
+    want = set(zip(*(c.tolist() for c in (shard, *columns, count, last))))
+    assert got == want
+    if top == level == 3:
+        assert sum(len(r[-1]) for r in rows) < 8 * 40_000

@@ -1,7 +1,8 @@
 """Language-model scores from an interpolated modified Kneser-Ney n-gram model.
 
 Counting.  The documents of a partition are read in flushes; a flush sends each of its
-n-grams once, with its count, to the shard of the n-gram's context.  A shard adds the counts
+n-grams once, with its count, to the shard of the n-gram's context; what goes to one shard
+lists its tokens once, and the n-grams as sorted places in that list.  A shard adds the counts
 up, writes its n-grams and contexts as sorted hash arrays into the shared folder, and sends
 every distinct n-gram on as one continuation count of the next lower order.  The contexts
 that a sample shows to be frequent (and the empty one) are dealt by the whole n-gram, so that
@@ -31,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import work_path
-from .common import flushes, hashes, mix, parts_for, runs, text_bytes, words_of
+from .common import drop_stages, flushes, hashes, mix, parts_for, runs, settle, staged_so_far, words_of
 
 FLUSH_CHARS = 16_000_000
 SHARD_BYTES = 24_000_000
@@ -75,54 +76,109 @@ def _tokens(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.concatenate(sizes)
 
 
-def _contexts(h: np.ndarray, sizes: np.ndarray, order: int) -> list[np.ndarray]:
-    """Hash of the 0, 1, ... order - 1 tokens before each; start signs stand before a text."""
+def _before(h: np.ndarray, sizes: np.ndarray, order: int) -> list[np.ndarray]:
+    """The tokens 1, ... order - 1 places before each; start signs stand before a text."""
     starts = np.repeat(np.cumsum(sizes) - sizes, sizes)
     at = np.arange(len(h))
-    out = [np.zeros(len(h), np.uint64)]
+    out = []
     for m in range(1, order):
         before = np.full(len(h), START)
         before[m:] = h[: len(h) - m]
         before[at - m < starts] = START
-        out.append(mix(out[-1], before))
+        out.append(before)
+    return out
+
+
+def _folded(before: list[np.ndarray], n: int) -> list[np.ndarray]:
+    """Hash of none, the nearest, the nearest two, ... of the tokens before each of ``n``."""
+    out = [np.zeros(n, np.uint64)]
+    for tokens in before:
+        out.append(mix(out[-1], tokens))
     return out
 
 
+def _contexts(h: np.ndarray, sizes: np.ndarray, order: int) -> list[np.ndarray]:
+    """Hash of the 0, 1, ... order - 1 tokens before each."""
+    return _folded(_before(h, sizes, order), len(h))
+
+
 def _deal(ctx: np.ndarray, key: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
     spread = np.isin(ctx, hot) if len(hot) else np.zeros(len(ctx), bool)
     return np.where(spread, key, mix(ctx, ctx)) % np.uint64(shards)
 
 
-def _pack(level: int, top: int, shard: np.ndarray, ctx, up, word, count, raw) -> Iterator[tuple]:
-    """Rows for the shards of a level; contexts are written once for a run of their words."""
-    order = np.lexsort((word, ctx, shard))
+def _planes(x: np.ndarray) -> bytes:
+    """The lowest bytes of all values, then the next, ..."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _pack(level: int, top: int, shard: np.ndarray, before: list[np.ndarray], word, count, raw) -> Iterator[tuple]:
+    """Rows for the shards of a level.  A row lists its tokens once, the frequent ones first,
+    and names them by their places in that list."""
+    import zlib
+
+    order = np.argsort(shard, kind="stable")
     cuts = runs(shard[order])
     for part in np.split(order, cuts[1:]) if len(order) else []:
-        first = runs(ctx[part])
-        heads = part[first]
-        yield (
-            int(shard[part[0]]), _NGRAMS, ctx[heads].tobytes(), up[heads].tobytes() if level > 2 else b"",
-            np.diff(np.r_[first, len(part)]).astype(np.uint32).tobytes(), word[part].tobytes(),
-            count[part].astype(np.uint32).tobytes(), raw[part].astype(np.uint64).tobytes() if level < top else b"",
+        n = len(part)
+        tokens, place, times = np.unique(
+            np.concatenate([x[part] for x in (*before, word)]), return_inverse=True, return_counts=True
         )
+        rank = np.argsort(-times, kind="stable")
+        named = np.empty(len(rank), np.uint32)
+        named[rank] = np.arange(len(rank), dtype=np.uint32)
+        columns = named[place].reshape(level, n)
+        rows = np.lexsort(columns[::-1])
+        columns = columns[:, rows]
+        columns[0, 1:] -= columns[0, :-1].copy()
+        planes = [_planes(np.ascontiguousarray(x)) for x in columns] + [_planes(count[part][rows].astype(np.uint32))]
+        if level < top:
+            planes.append(_planes(raw[part][rows].astype(np.uint64)))
+        sizes = np.array([n, len(tokens)], np.uint64).tobytes()
+        yield int(shard[part[0]]), _NGRAMS, b"", sizes + tokens[rank].tobytes() + zlib.compress(b"".join(planes), 1)
 
 
-_COLUMNS = ["shard", "kind", "ctx", "up", "n", "word", "count", "raw"]
-_SCHEMA = "shard int, kind tinyint, ctx binary, up binary, n binary, word binary, count binary, raw binary"
+_COLUMNS = ["shard", "kind", "ctx", "data"]
+_SCHEMA = "shard int, kind tinyint, ctx binary, data binary"
 
 
 def _unpack(rows: pd.DataFrame, level: int, top: int):
-    col = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in rows[name]])
-    n = col("n", np.uint32)
-    ctx, word, count = np.repeat(col("ctx", np.uint64), n), col("word", np.uint64), col("count", np.uint32).astype(np.uint64)
-    up = np.repeat(col("up", np.uint64), n) if level > 2 else np.zeros(len(ctx), np.uint64)
-    return ctx, up, word, count, col("raw", np.uint64) if level < top else count
+    """The tokens before (the nearest first), the words, their counts and raw counts."""
+    import zlib
+
+    parts = []
+    for data in rows["data"]:
+        n, many = (int(x) for x in np.frombuffer(data, np.uint64, 2))
+        tokens = np.frombuffer(data, np.uint64, many, 16)
+        planes, at, own = zlib.decompress(memoryview(data)[16 + 8 * many :]), 0, []
+        for kind in [np.uint32] * (level + 1) + [np.uint64] * (level < top):
+            size = np.dtype(kind).itemsize
+            x = np.frombuffer(planes, np.uint8, n * size, at).reshape(size, n)
+            own.append(np.ascontiguousarray(x.T).view(kind)[:, 0])
+            at += n * size
+        own[0] = np.cumsum(own[0], dtype=np.uint32)
+        own[:level] = [tokens[x] for x in own[:level]]
+        parts.append([*own[:level], own[level].astype(np.uint64), own[-1].astype(np.uint64)])
+    *before, word, count, raw = (np.concatenate(x) for x in zip(*parts))
+    return before, word, count, raw
 
 
 def _narrow(x: np.ndarray) -> np.ndarray:
     return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
 
 
+def _write_coded(path: str, name: str, array: np.ndarray) -> None:
+    """Values that come again and again: the distinct ones, and for each row which it is."""
+    key = array
+    if array.ndim > 1:
+        key = array[:, 0]
+        for k in range(1, array.shape[1]):
+            key = mix(key, array[:, k])
+    _, first, which = np.unique(key, return_index=True, return_inverse=True)
+    _write(f"{path}.{name}-values.npy", array[first])
+    _write(f"{path}.{name}.npy", _narrow(which))
+
+
 def _write(path: str, array: np.ndarray) -> None:
     import uuid
 
@@ -156,23 +212,27 @@ def fit(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text_col: str =
         length = lambda b: b["text"].str.len().fillna(0).astype(int) + 1
         for batch in flushes(batches, length, FLUSH_CHARS):
             h, sizes = _tokens(batch)
-            ctx = _contexts(h, sizes, order)
-            key = mix(ctx[-1], h)
+            before = _before(h, sizes, order)
+            ctx = _folded(before, len(h))[-1]
+            key = mix(ctx, h)
             order_ = np.argsort(key, kind="stable")
             first = runs(key[order_])
             count = np.diff(np.r_[first, len(key)])
             at = order_[first]
-            up = ctx[-2] if order > 1 else ctx[-1]
-            shard = _deal(ctx[-1][at], key[at], hot[order], shards)
-            yield pd.DataFrame(list(_pack(order, order, shard, ctx[-1][at], up[at], h[at], count, count)), columns=_COLUMNS)
+            shard = _deal(ctx[at], key[at], hot[order], shards)
+            yield pd.DataFrame(list(_pack(order, order, shard, [x[at] for x in before], h[at], count, count)), columns=_COLUMNS)
 
+    mark = staged_so_far()
     rows = texts.select("text").mapInPandas(ask, _SCHEMA)
     for level in range(order, 0, -1):
+        # written, so that the shuffle files of a level are gone before the next one begins
         rows = rows.repartition(shards, "shard").groupBy("shard").applyInPandas(_reducer(model, level), _SCHEMA)
-    found = rows.filter(F.col("kind") == _STATS).select("shard", "ctx", "count").toPandas()
+        rows = settle(spark, rows, "ngram-rows", mark)
+    found = rows.filter(F.col("kind") == _STATS).select("shard", "ctx", "data").toPandas()
+    drop_stages(spark, mark)
     totals: dict[int, np.ndarray] = {}
     sums: dict[int, dict[int, np.ndarray]] = {m: {} for m in range(1, order + 1)}
-    for level, ctx, stats in zip(found["shard"], found["ctx"], found["count"]):
+    for level, ctx, stats in zip(found["shard"], found["ctx"], found["data"]):
         values = np.frombuffer(stats, np.uint64)
         if ctx is None or not len(ctx):
             totals[-level] = totals.get(-level, 0) + values
@@ -235,26 +295,28 @@ def _reducer(model: Model, level: int):
         if not len(rows):
             return pd.DataFrame(out, columns=_COLUMNS)
         shard = int(rows["shard"].iloc[0])
-        ctx, up, word, count, raw = _unpack(rows, level, model.order)
+        before, word, count, raw = _unpack(rows, level, model.order)
+        folded = _folded(before, len(word))
+        ctx, up = folded[-1], folded[max(0, level - 2)]
         key = mix(ctx, word)
         order = np.argsort(key, kind="stable")
         first = runs(key[order])
         count, raw = (np.add.reduceat(x[order], first) for x in (count, raw))
         at = order[first]
-        key, ctx, up, word = key[at], ctx[at], up[at], word[at]
+        key, ctx, up, word, before = key[at], ctx[at], up[at], word[at], [x[at] for x in before[:-1]]
         base = f"{model.folder}/{level}/{shard % 1000}/{shard}"
         _write(f"{base}.keys.npy", key)
-        _write(f"{base}.counts.npy", _narrow(count))
+        _write_coded(base, "counts", count)
         if level == 1:
-            _write(f"{base}.raw.npy", _narrow(raw))
+            _write_coded(base, "raw", raw)
         own, sums = _sums(ctx, count)
         spread = np.isin(own, hot)
         _write(f"{base}.contexts.npy", own[~spread])
-        _write(f"{base}.sums.npy", _narrow(sums[~spread]))
+        _write_coded(base, "sums", sums[~spread])
         few = [int((count == k).sum()) for k in (1, 2, 3, 4)]
-        out.append((-level, _STATS, b"", b"", b"", b"", np.array([*few, len(key), int(raw.sum())], np.uint64).tobytes(), b""))
+        out.append((-level, _STATS, b"", np.array([*few, len(key), int(raw.sum())], np.uint64).tobytes()))
         for c, s in zip(own[spread], sums[spread]):
-            out.append((-level, _STATS, c.tobytes(), b"", b"", b"", s.tobytes(), b""))
+            out.append((-level, _STATS, c.tobytes(), s.tobytes()))
         if level > 1:
             # one row here for each (shorter context, word): how many n-grams end in it
             end = mix(up, word)
@@ -263,7 +325,8 @@ def _reducer(model: Model, level: int):
             at = order[first]
             n = np.diff(np.r_[first, len(end)])
             total = np.add.reduceat(raw[order], first)
-            out += _pack(level - 1, model.order, _deal(up[at], end[at], lower, model.shards), up[at], np.zeros(len(at), np.uint64), word[at], n, total)
+            dealt = _deal(up[at], end[at], lower, model.shards)
+            out += _pack(level - 1, model.order, dealt, [x[at] for x in before], word[at], n, total)
         return pd.DataFrame(out, columns=_COLUMNS)
 
     return reduce
@@ -295,10 +358,11 @@ class Lookup:
             at[at == len(keys)] = 0
             hit = keys[at] == key[part]
             for i, name in enumerate(values):
-                table = self._map(level, int(shard[part[0]]), name)
+                which = self._map(level, int(shard[part[0]]), name)
+                table = self._map(level, int(shard[part[0]]), f"{name}-values")
                 if out[i] is None:
                     out[i] = np.zeros((len(key), *table.shape[1:]), np.float64)
-                out[i][part[hit]] = table[at[hit]]
+                out[i][part[hit]] = table[which[at[hit]]]
         return out
 
     def level(self, level: int, ctx: np.ndarray, word: np.ndarray):
