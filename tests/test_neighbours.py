@@ -103,3 +103,21 @@ def test_blocks_grow_with_the_table(spark, monkeypatch):
     asked = [(f"q{i}", v) for i, v in data[::40]]
     assert sorted(map(tuple, nb.neighbours(df, queries, 5).collect())) == by_hand(data, asked, 5)
     assert numbers[0] <= nb.BLOCKS + nb.PIVOTS + 1 + nb.BLOCKS // nb.PACKED_BLOCKS + 1  # 500 blocks of BLOCK_BYTES
+
+
+def test_the_best_scores_without_sorting_all(monkeypatch):
+    rng, rounded, real = np.random.default_rng(9), [], np.round
+    monkeypatch.setattr(np, "round", lambda x, *a: rounded.append(np.size(x)) or real(x, *a))
+    score = rng.integers(-50, 50, (40, 3000)) / 50 + rng.integers(-1, 2, (40, 3000)) * 2e-13
+    score[5:, 5:] = rng.normal(size=(35, 2995))
+    floor = np.where(np.arange(40) % 2, -np.inf, real(np.sort(score, axis=1)[:, -9], nb.DIGITS))
+    for k in (1, 4, 3000, 5000):
+        value = real(score, nb.DIGITS)
+        top = np.argsort(-value, axis=1, kind="stable")[:, :k]
+        want = [
+            (i, int(p), value[i, p]) for i in range(40) for p in top[i] if value[i, p] >= floor[i]
+        ]
+        rounded.clear()
+        assert list(zip(*(x.tolist() for x in nb.best_of(score, floor, k)))) == want
+        if k < 5:
+            assert sum(rounded) < score.size / 20

@@ -219,17 +219,30 @@ def _scored(pairs: DataFrame, groups: DataFrame, blocks: DataFrame, k: int) -> D
                     floor[i] = least
                 step = max(1, SCORES_AT_ONCE // len(r.ids))
                 for lo in range(0, r.n, step):
-                    score = np.round(queries[lo : lo + step] @ data, DIGITS)
-                    # ids ascend in a block, so equal scores stay in their order
-                    top = np.argsort(-score, axis=1, kind="stable")[:, :k]
-                    score = np.take_along_axis(score, top, axis=1)
-                    i, place = np.nonzero(score >= floor[lo : lo + step, None])
-                    ids = [r.ids[x] for x in top[i, place]]
-                    yield pd.DataFrame({"g": np.full(len(i), r.g), "i": i + lo, "id": ids, "score": score[i, place]})
+                    i, place, score = best_of(queries[lo : lo + step] @ data, floor[lo : lo + step], k)
+                    ids = [r.ids[x] for x in place]
+                    yield pd.DataFrame({"g": np.full(len(i), r.g), "i": i + lo, "id": ids, "score": score})
 
     return both.mapInPandas(best, f"g long, i int, id {kind}, score double")
 
 
+def best_of(score: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place and rounded score of the ``k`` best of every row that reach the row's floor; of equal
+    ones the first.  Only scores that may be among them are rounded and sorted."""
+    least = floor - 2 * 10.0**-DIGITS
+    free = np.flatnonzero(np.isneginf(floor))
+    if len(free) and score.shape[1] > k:
+        kth = np.partition(score[free], score.shape[1] - k, axis=1)[:, -k]
+        least[free] = kth - 2 * 10.0**-DIGITS
+    row, place = np.nonzero(score >= least[:, None])
+    value = np.round(score[row, place], DIGITS)
+    order = np.lexsort((place, -value, row))
+    row, place, value = row[order], place[order], value[order]
+    first = np.searchsorted(row, row)
+    keep = (np.arange(len(row)) - first < k) & (value >= floor[row])
+    return row[keep], place[keep], value[keep]
+
+
 def _floors(kth: DataFrame) -> DataFrame:
     """``g, known, least, floors``: the k-th score of each query of a block that has k vectors."""
     return kth.groupBy("g").agg(
